@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once an application, so that Python workers can import it.
+
+    The archive lies beside the driver only until Spark's file server has it; executors fetch it from there.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = tempfile.mkdtemp(prefix="paperloom-")
+    stage = os.path.join(out, "src")
+    shutil.copytree(os.path.join(root, "paperloom"), os.path.join(stage, "paperloom"), ignore=shutil.ignore_patterns("__pycache__", "*.pyc"))
+    sc.addPyFile(shutil.make_archive(os.path.join(out, "paperloom"), "zip", stage))
+    _shipped.add(sc.applicationId)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data directory; ``name.parquet`` may be a file or a folder."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
