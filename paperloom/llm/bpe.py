@@ -26,8 +26,9 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: A seam that always is a border of the pattern: one space between two characters that are no white space.
 WORD_SEAM = r"(?<=\S)(?= \S)"
 
-#: A space beside other white space, at the start or at the end; without any, each space of a text is a seam.
-ODD_SPACE = r" \s|\s |^ | $"
+#: White space other than the space and the line feed; with it, or with a space beside white space, words are found by
+#: WORD_SEAM, without it by the spaces alone.
+RARE_SPACE = r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 class Bpe:
@@ -51,7 +52,7 @@ class Bpe:
         self.auto.make_automaton()
         self.pieces = regex.compile(PIECES).findall
         self.words = re.compile(WORD_SEAM).split
-        self.odd_space = re.compile(ODD_SPACE).search
+        self.rare_space = re.compile(RARE_SPACE).search
         self.halves: dict[int, tuple[int, int] | None] = {}
         self.adjacent: dict[tuple[int, int], bool] = {}
         self.memo: dict[str, tuple[int, ...]] = {}
@@ -167,11 +168,11 @@ class Bpe:
 
     def _parts(self, text: str) -> list[tuple[int, ...]]:
         """The ids of every word of a non-empty text, in order."""
-        if self.odd_space(text):
+        if "  " in text or " \n" in text or "\n " in text or self.rare_space(text):
             words = self.words(text)
         else:
             first, *rest = text.split(" ")
-            words = [first, *map(" ".__add__, rest)] if first else ["", *map(" ".__add__, rest)]
+            words = [first, *map(" ".__add__, rest)]
         memo = self.wmemo
         parts = list(map(memo.get, words))
         if None in parts:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paperloom.llm import encoding
+from paperloom.llm import encoding, packing
 from paperloom.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +22,10 @@ def query(f):
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids of every document by byte_bpe_50k."""
     return encoding.encode_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, sized in tokens of byte_bpe_50k, in a container of each capacity."""
+    sizes = encoding.count_tokens(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return packing.pack(sizes, table(spark, sf_dir, "container_spec"))
