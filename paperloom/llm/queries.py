@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paperloom.llm import encoding, packing
+from paperloom.llm import encoding, packing, residue
 from paperloom.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +30,17 @@ def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, sized in tokens of byte_bpe_50k, in a container of each capacity."""
     sizes = encoding.count_tokens(table(spark, sf_dir, "documents"), "doc_id", "text")
     return packing.pack(sizes, table(spark, sf_dir, "container_spec"))
+
+
+@query
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that are residue in place of a paper."""
+    return residue.classify(table(spark, sf_dir, "documents")).where("residue").select("doc_id")
+
+
+@query
+def p9_clean_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus without residue, with a flag for open slots inside ordinary documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    verdicts = residue.classify(table(spark, sf_dir, "documents"))
+    return docs.join(verdicts, "doc_id", "left").where(~F.coalesce("residue", F.lit(False))).select("doc_id", "source", "n_chars", F.coalesce("open_slots", F.lit(False)).alias("open_slots"))
