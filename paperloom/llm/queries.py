@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import encoding, packing, residue
-from paperloom.tables import table
+from paperloom.llm import canonical, encoding, packing, residue
+from paperloom.tables import materialise, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,39 @@ def p9_clean_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
     verdicts = residue.classify(table(spark, sf_dir, "documents"))
     return docs.join(verdicts, "doc_id", "left").where(~F.coalesce("residue", F.lit(False))).select("doc_id", "source", "n_chars", F.coalesce("open_slots", F.lit(False)).alias("open_slots"))
+
+
+def _entered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(record_id, field_name, pos, value) of the freely typed fields that are not verbatim an entry of their list."""
+    meta, entry, refs = (table(spark, sf_dir, t) for t in ("metadata", "entry", "ref_list"))
+    return spark.sql(
+        """
+        WITH v AS (
+          SELECT doc_id AS record_id, pos, d FROM (
+            SELECT doc_id, array(primary_discipline) AS a, 0 AS base FROM {m}
+            UNION ALL SELECT doc_id, secondary_disciplines, 1 FROM {m}) LATERAL VIEW posexplode(a) t AS at, d LATERAL VIEW explode(array(at + base)) u AS pos
+          WHERE d IS NOT NULL),
+        all_values AS (
+          SELECT record_id, 'level2' AS field_name, pos, d.level2 AS value FROM v
+          UNION ALL SELECT record_id, 'level3', pos, d.level3 FROM v
+          UNION ALL SELECT entry_id, 'std_label', 0, payload['std_label'] FROM {e} WHERE type = 'concept'
+          UNION ALL SELECT entry_id, 'method_type', 0, payload['method_type'] FROM {e} WHERE type = 'method')
+        SELECT DISTINCT a.record_id, a.field_name, a.pos, a.value FROM all_values a
+        LEFT ANTI JOIN {r} r ON a.field_name = r.field_name AND a.value = r.canon
+        WHERE a.value IS NOT NULL AND a.value <> ''""",
+        m=meta.select("doc_id", "primary_discipline", "secondary_disciplines"),
+        e=entry.select("entry_id", "type", "payload"),
+        r=refs.select("field_name", "canon"),
+    )
+
+
+@query
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list entry of every freely typed value, or NONE."""
+    entered = materialise(_entered(spark, sf_dir), "entered")
+    mapped = canonical.map_values(entered, table(spark, sf_dir, "ref_list"), head_fields=("method_type",))
+    return spark.sql(
+        "SELECT DISTINCT v.record_id, v.field_name, CAST(v.pos AS INT) AS pos, m.ref_id FROM {v} v JOIN {m} m ON v.field_name = m.field_name AND v.value = m.value",
+        v=entered,
+        m=materialise(mapped, "mapped"),
+    )
