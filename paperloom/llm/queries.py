@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import canonical, encoding, packing, residue
+from paperloom.llm import canonical, encoding, packing, residue, truncation
 from paperloom.tables import materialise, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,19 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         v=entered,
         m=materialise(mapped, "mapped"),
     )
+
+
+def _cut_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of problem 6: introductions, evidence and the documents behind papers.char_count."""
+    meta = table(spark, sf_dir, "metadata").select(F.col("doc_id").alias("record_id"), F.lit("introduction").alias("field_name"), F.col("introduction").alias("text"))
+    entry = table(spark, sf_dir, "entry").select(F.col("entry_id").alias("record_id"), F.lit("original_text").alias("field_name"), F.col("evidence.original_text").alias("text"))
+    docs = table(spark, sf_dir, "documents").select(F.col("source_key").alias("record_id"), F.lit("char_count").alias("field_name"), "text")
+    return meta.unionByName(entry).unionByName(docs)
+
+
+@query
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values that break off before their last sentence is complete."""
+    cut = materialise(truncation.find_cut(_cut_fields(spark, sf_dir)), "p6")
+    papers = table(spark, sf_dir, "papers").select(F.col("source_key").alias("record_id"))
+    return cut.where("field_name <> 'char_count'").unionByName(cut.where("field_name = 'char_count'").join(papers, "record_id", "left_semi"))
