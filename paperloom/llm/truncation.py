@@ -5,6 +5,7 @@ begins like longer, complete sentences elsewhere. Fixed-length prefixes (digits
 counted; the tail of a text is joined with them by equality, a tail shorter than that with the prefixes of its own length.
 So an ending without a full stop alone is no evidence (captions, references, list items, formulas), and a sentence end
 that only looks like one ("i.e.", the point of a decimal number) is checked against the endings that complete sentences have.
+A text that ends in half a character, at an opening bracket or at a comma or colon is cut without comparison.
 """
 
 from __future__ import annotations
@@ -63,6 +64,8 @@ def scan(text: str, keys: dict[str, int], ends: dict[str, int]) -> tuple[str, st
     if not body:
         return None
     body = _END_TAGS.sub("", body) or body
+    if body[-1] == "\ufffd":  # half a character
+        return "open", ""
     stripped = _MARK.sub("", body)
     marked = stripped != body
     body = stripped.rstrip("-‐ ­")
@@ -85,6 +88,8 @@ def scan(text: str, keys: dict[str, int], ends: dict[str, int]) -> tuple[str, st
     tail = _LEAD.sub("", _TAGS.sub("", last)).lstrip()
     if not any(c.isalpha() for c in tail):
         return None
+    if tail[-1] in "(（[,，、:：;；":
+        return "open", ""
     return "tail", _key(tail)
 
 
@@ -125,7 +130,7 @@ def find_cut(texts: DataFrame) -> DataFrame:
     prefixes = seen.where("kind = 'prefix'").groupBy("key").agg(F.sum("n").alias("n"))
     # every prefix of a counted prefix, for tails shorter than the fixed length
     starts = prefixes.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("key")), lambda i: F.substring("key", F.lit(1), i))).alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COPIES).select("key")
-    cut = seen.where("kind = 'tail'").join(starts, "key", "left_semi")
+    cut = seen.where("kind = 'tail'").join(starts, "key", "left_semi").unionByName(seen.where("kind = 'open'"))
     endings = seen.where("kind = 'known_ending'").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COPIES).select("key")
     open_point = seen.where("kind = 'ending'").join(endings, "key", "left_anti")
     return cut.unionByName(open_point).select("record_id", "field_name").distinct()
