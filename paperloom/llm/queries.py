@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import canonical, encoding, packing, residue, truncation
+from paperloom.llm import canonical, encoding, langid, packing, residue, truncation
 from paperloom.tables import materialise, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,42 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = materialise(truncation.find_cut(_cut_fields(spark, sf_dir)), "p6")
     papers = table(spark, sf_dir, "papers").select(F.col("source_key").alias("record_id"))
     return cut.where("field_name <> 'char_count'").unionByName(cut.where("field_name = 'char_count'").join(papers, "record_id", "left_semi"))
+
+
+def _p1_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Abstracts, keywords and evidence as arrays of strings; version orders the deliveries of a paper."""
+    meta, entry = table(spark, sf_dir, "metadata"), table(spark, sf_dir, "entry")
+    when = F.col("extraction_info.extraction_timestamp").alias("version")
+    abstracts = meta.where(F.length("abstract") > 0).select(F.col("doc_id").alias("record_id"), F.lit("abstract").alias("field_name"), when, F.array("abstract").alias("parts"))
+    keywords = meta.where(F.size("keywords") > 0).select(F.col("doc_id").alias("record_id"), F.lit("keywords").alias("field_name"), when, F.col("keywords").alias("parts"))
+    evidence = entry.where(F.length("evidence.original_text") > 0).select(F.col("entry_id").alias("record_id"), F.lit("original_text").alias("field_name"), F.lit(None).cast("string").alias("version"), F.array("evidence.original_text").alias("parts"))
+    return abstracts.unionByName(keywords).unionByName(evidence)
+
+
+def _p1_segments(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The segments of every text (one row a text) and the current labels."""
+    labels = langid.current_labels(table(spark, sf_dir, "lang_label").select("record_id", "field_name", "lang_given", "labelled_at"))
+    texts = _p1_texts(spark, sf_dir)
+    sample = langid.sample_texts(texts.where("field_name = 'abstract'"), labels.where("field_name = 'abstract'"))
+    found = langid.detect(texts, langid.train(sample))
+    return found.groupBy("record_id", "field_name").agg(F.max_by("segs", F.struct(F.col("version"), F.to_json("segs"))).alias("segs")), labels
+
+
+@query
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segments of every text whose label is missing or wrong or which holds several languages."""
+    segs, labels = _p1_segments(spark, sf_dir)
+    case = (F.size("segs") > 1) | (F.size("segs") == 1) & (F.col("label").isNull() | (F.col("label") != F.col("segs")[0]["lang"]))
+    return (
+        segs.join(labels, ["record_id", "field_name"], "left")
+        .where(case)
+        .select("record_id", "field_name", F.posexplode("segs").alias("seg_no", "s"))
+        .select("record_id", "field_name", (F.col("seg_no") + 1).cast("int").alias("seg_no"), "s.lang")
+    )
+
+
+@query
+def p1_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language and the confidence of every segment of every text."""
+    segs, _ = _p1_segments(spark, sf_dir)
+    return segs.select("record_id", "field_name", F.posexplode("segs").alias("seg_no", "s")).select("record_id", "field_name", (F.col("seg_no") + 1).cast("int").alias("seg_no"), "s.lang", "s.confidence")
