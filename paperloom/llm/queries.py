@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import canonical, encoding, langid, packing, residue, truncation
+from paperloom.llm import canonical, encoding, langid, markup, packing, residue, truncation
 from paperloom.tables import materialise, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,23 @@ def p1_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language and the confidence of every segment of every text."""
     segs, _ = _p1_segments(spark, sf_dir)
     return segs.select("record_id", "field_name", F.posexplode("segs").alias("seg_no", "s")).select("record_id", "field_name", (F.col("seg_no") + 1).cast("int").alias("seg_no"), "s.lang", "s.confidence")
+
+
+def _p3_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles, abstracts and evidence, one row a text."""
+    meta, entry = table(spark, sf_dir, "metadata"), table(spark, sf_dir, "entry")
+    fields = F.explode(F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in ("title", "abstract")))).alias("x")
+    own = meta.select(F.col("doc_id").alias("record_id"), fields).select("record_id", "x.field_name", "x.text")
+    return own.unionByName(entry.select(F.col("entry_id").alias("record_id"), F.lit("original_text").alias("field_name"), F.col("evidence.original_text").alias("text"))).where(F.length("text") > 0)
+
+
+@query
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The markup languages of every text that holds some."""
+    return markup.clean(_p3_texts(spark, sf_dir), with_text=False).select("record_id", "field_name", F.explode("markup").alias("markup")).distinct()
+
+
+@query
+def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every title, abstract and piece of evidence as clean text."""
+    return markup.clean(_p3_texts(spark, sf_dir)).select("record_id", "field_name", "clean").distinct()
