@@ -63,7 +63,7 @@ FORMS = (
     ("m_under", "markdown", r"__[^_\n]{1,160}__", False),
     ("m_em", "markdown", r"(?<![\w*])\*(?=[^\s*])[^*\n]{1,120}(?<=[^\s*])\*(?![\w*])|(?<![\w_])_(?=[^\s_])[^_\n]{1,120}(?<=[^\s_])_(?![\w_])", False),
     ("star_item", "markdown", r"(?m:^)[ \t]*\*[ \t]+(?=\S)", False),
-    ("m_item", "markdown", r"(?m:^)[ \t]*[-+][ \t]+(?=\S)(?!\d+ [-—]\s*$)", False),
+    ("m_item", "markdown", r"(?m:^)[ \t]*[-+][ \t]+(?=\S)(?!\d+ ?[-—–])", False),
     ("m_number", "markdown", r"(?m:^)[ \t]*\d{1,2}\.[ \t]+(?=\S)", False),
     ("m_cite", "markdown", r"(?m:^)>[ \t]+\S+", False),
 )
