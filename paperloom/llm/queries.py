@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import canonical, encoding, langid, markup, packing, residue, truncation
+from paperloom.llm import canonical, encoding, langid, markup, packing, residue, scan_noise, truncation
 from paperloom.tables import materialise, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,17 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every title, abstract and piece of evidence as clean text."""
     return markup.clean(_p3_texts(spark, sf_dir)).select("record_id", "field_name", "clean").distinct()
+
+
+def _p4_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Abstracts, introductions and evidence, one row a text."""
+    meta, entry = table(spark, sf_dir, "metadata"), table(spark, sf_dir, "entry")
+    fields = F.explode(F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in ("abstract", "introduction")))).alias("x")
+    own = meta.select(F.col("doc_id").alias("record_id"), fields).select("record_id", "x.field_name", "x.text")
+    return own.unionByName(entry.select(F.col("entry_id").alias("record_id"), F.lit("original_text").alias("field_name"), F.col("evidence.original_text").alias("text")))
+
+
+@query
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kinds of scanning noise of every text."""
+    return scan_noise.find_noise(_p4_texts(spark, sf_dir))
