@@ -65,6 +65,7 @@ FORMS = (
     ("star_item", "markdown", r"(?m:^)[ \t]*\*[ \t]+(?=\S)", False),
     ("m_item", "markdown", r"(?m:^)[ \t]*[-+][ \t]+(?=\S)(?!\d+ ?[-—–])", False),
     ("m_number", "markdown", r"(?m:^)[ \t]*\d{1,2}\.[ \t]+(?=\S)", False),
+    ("m_rule", "markdown", r"(?m:^)[ \t]*(?:-{3,}|={3,}|\*{3,}|_{3,})[ \t]*(?m:$)", False),
     ("m_cite", "markdown", r"(?m:^)>[ \t]+\S+", False),
 )
 _KIND = {name: i for i, (name, *_) in enumerate(FORMS)}
@@ -293,7 +294,7 @@ def _inject(rng: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
                         rng.choice(
                             (
                                 f"**{w}**", f"*{w}*", f"***{w}***", f"__{w}__", f"_{w}_", f"`{w}`", f"~~{w}~~", f"[{w}](https://{tok()}.org/{num()})", f"![{w}](img_{num()}.png)", f"{w}[^{num()[0]}]", f"\n## {w}\n\n", f"\n### **{w}**\n", f"\n```python\n{code()}\n```\n",
-                                f"\n| k | v |\n|---|---|\n| a | {num()} |\n", f"\n- {w}\n- {w}\n", f"\n+ {w}\n+ {w}\n", f"\n* {w}\n* {w}\n", f"\n1. {w}\n2. {w}\n", f"\n> {w}\n", f"\n# {w}\n",
+                                f"\n| k | v |\n|---|---|\n| a | {num()} |\n", f"\n- {w}\n- {w}\n", f"\n+ {w}\n+ {w}\n", f"\n* {w}\n* {w}\n", f"\n1. {w}\n2. {w}\n", f"\n> {w}\n", f"\n# {w}\n", f"\n{w}\n-----\n", f"\n{w}\n=====\n",
                             )
                         ),
                         lang,
@@ -317,7 +318,7 @@ def _inject(rng: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
                     (
                         rng.choice(
                             (
-                                f"\\{cmd}{{{w}}}", f"{w}~\\cite{{{tok()}2001}}", f"(Fig.~\\ref{{fig:{tok()}}}) {w}", f"${math()}$ {w}", f"\\({math()}\\) {w}", f"\\[ {math()} \\] {w}", f"$${math()}$$ {w}", f"\n\\begin{{equation}}\n{math()}\n\\end{{equation}}\n",
+                                f"\\{cmd}{{{w}}}", f"{w}~\\cite{{{tok()}2001}}", f"(Fig.~\\ref{{fig:{tok()}}}) {w}", f"${math()}$ {w}", f" ${math()}${w}", f"\\({math()}\\) {w}", f"\\[ {math()} \\] {w}", f"$${math()}$$ {w}", f"\n\\begin{{equation}}\n{math()}\n\\end{{equation}}\n",
                                 f"\n\\begin{{itemize}}\n\\item {w}\n\\item {w}\n\\end{{itemize}}\n", f"\n\\begin{{verbatim}}\n{code()}\n\\end{{verbatim}}\n", f"{{\\it {w}}}", f"``{w}''", f"{w}.\\\\ ", f"{w} \\%", f"\\section{{{w}}}\n", f"\n\\subsection*{{{w}}}\n", f"{{\\bf {w}}}", f"\\cite{{{tok()}}}", f"{w}\\footnote{{{w}}}",
                             )
                         ),
@@ -487,6 +488,8 @@ def _plain(n: Node, inner) -> str:
         return inner(t.strip(t[0]))
     if k in ("star_item", "m_item"):
         return "- "
+    if k == "m_rule":
+        return ""
     if k == "m_cite":
         return t.lstrip("> ")
     return t  # m_table, m_number: their plain form is their reading form
