@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import canonical, encoding, langid, markup, packing, residue, scan_noise, truncation
+from paperloom.llm import canonical, encoding, langid, markup, packing, residue, scan_noise, subjects, truncation
 from paperloom.tables import materialise, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,29 @@ def _p4_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The kinds of scanning noise of every text."""
     return scan_noise.find_noise(_p4_texts(spark, sf_dir))
+
+
+def _p5_assigned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The areas of every paper by its abstract, and the areas that it states."""
+    meta, refs = table(spark, sf_dir, "metadata"), table(spark, sf_dir, "ref_list")
+    said = F.array_compact(F.concat(F.array("primary_discipline.level1"), F.coalesce(F.transform("secondary_disciplines", lambda d: d["level1"]), F.array().cast("array<string>"))))
+    papers = meta.select("doc_id", "keywords", "abstract", F.array_distinct(said).alias("said"), F.col("extraction_info.extraction_timestamp").alias("at"))
+    papers = papers.groupBy("doc_id").agg(F.max_by(F.struct("keywords", "abstract", "said"), F.coalesce("at", F.lit(""))).alias("p")).select("doc_id", "p.*")
+    areas = [r[0] for r in refs.where("field_name = 'level1'").select("canon").distinct().collect()]  # the fixed list of areas
+    stated = papers.select("doc_id", "keywords", F.array_intersect("said", F.array(*map(F.lit, areas)).cast("array<string>")).alias("areas"))
+    terms = [(r[0], r[1], r[2]) for r in subjects.weighted_terms(stated, refs).collect()]  # bounded by subjects.MIN_RATE
+    return subjects.assign(papers.select("doc_id", F.col("abstract").alias("text")), terms), papers.select("doc_id", "said")
+
+
+@query
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The areas that an abstract is about and that its paper does not state."""
+    found, said = _p5_assigned(spark, sf_dir)
+    return found.join(said, "doc_id").where(~F.coalesce(F.array_contains("said", F.col("area")), F.lit(False))).select("doc_id", F.col("area").alias("level1")).distinct()
+
+
+@query
+def p5_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The make-up of the corpus: papers and weight of each subject area."""
+    found, _ = _p5_assigned(spark, sf_dir)
+    return found.groupBy("area").agg(F.countDistinct("doc_id").alias("papers"), F.round(F.sum("share"), 4).alias("weight"))
