@@ -62,42 +62,40 @@ def parse_items(items: DataFrame) -> DataFrame:
     number or null) and the required one must be there; a concept needs a term, a relation both ends, a dataset a name.
     """
     item = F.col("item")
-    v = F.try_parse_json(item)
-    nested = F.get_json_object(item, "$.payload").startswith("{")
-
-    def raw(name: str) -> Column:
-        return F.when(nested, F.try_variant_get(v, f"$.payload.{name}", "variant")).otherwise(F.try_variant_get(v, f"$.{name}", "variant"))
-
-    d = items
-    ok, fields = F.lit(True), []
-    for t, (_, names, _) in TYPES.items():
-        for n in names:
-            x = raw(n)
-            kind = F.schema_of_variant(x)
-            text = F.try_variant_get(x, "$", "string")
-            if t == "relation" and n in ("head_term", "tail_term"):
-                short = n.split("_")[0]
-                text = F.coalesce(F.nullif(text, F.lit("")), F.nullif(F.try_variant_get(raw(short), "$", "string"), F.lit("")), F.nullif(F.get_json_object(item, f"$.{short}"), F.lit("")), F.lit(""))
-                fine = X.strip(text) != ""
-                text = X.strip(text)
-            elif n == "value":
-                fine = x.isNull() | kind.isin("STRING", "VOID") | kind.rlike("INT|DOUBLE|DECIMAL|FLOAT|BOOLEAN")
-            else:
-                fine = x.isNull() | (kind == "STRING")
-                if REQUIRED.get(t) == n:
-                    fine = x.isNotNull() & (kind == "STRING")
-                    if t in ("concept", "dataset"):
-                        fine = fine & (X.strip(text) != "" if t == "concept" else text != "")
-            ok = ok & ((F.col("type") != t) | F.coalesce(fine, F.lit(False)))
-            fields.append(F.when(F.col("type") == t, F.struct(F.lit(n).alias("k"), F.coalesce(text, F.lit("") if n != "value" else F.lit(None)).alias("v"))))
-    known = F.col("type").isin(*TYPES)
+    d = items.withColumn("__v", F.try_parse_json(item))
+    # the payload's fields as variants: the object ``payload``, else the item itself
+    own = F.coalesce(F.when(F.schema_of_variant(F.try_variant_get("__v", "$.payload", "variant")).startswith("OBJECT"), F.try_variant_get("__v", "$.payload", "map<string,variant>")), F.try_variant_get("__v", "$", "map<string,variant>"))
+    d = d.withColumn("__m", own).withColumn("__fields", _by_type({t: list(names) for t, (_, names, _) in TYPES.items()}, "array<string>"))
+    kind = F.transform_values("__m", lambda _, x: F.schema_of_variant(x))
+    d = d.withColumn("__kind", kind).withColumn("__text", F.transform_values("__m", lambda _, x: F.try_variant_get(x, "$", "string")))
+    text, kinds = F.col("__text"), F.col("__kind")
+    blank = lambda x: F.nullif(X.strip(F.coalesce(x, F.lit(""))), F.lit(""))
+
+    def end(n: str) -> Column:
+        return F.coalesce(blank(text[f"{n}_term"]), blank(text[n]), blank(F.get_json_object(item, f"$.{n}")), F.lit(""))
+
+    d = d.withColumn("__head", F.when(F.col("type") == "relation", end("head"))).withColumn("__tail", F.when(F.col("type") == "relation", end("tail")))
+    value = lambda n: F.when(n == "head_term", F.col("__head")).when(n == "tail_term", F.col("__tail")).otherwise(F.coalesce(text[n], F.when(n != "value", "")))
+    fine = lambda n: (
+        F.when(n.isin("head_term", "tail_term"), value(n) != "").when(n == "value", kinds[n].isNull() | ~kinds[n].rlike("^(?:OBJECT|ARRAY)")).otherwise(kinds[n].isNull() | (kinds[n] == "STRING"))
+    )
+    required = _by_type(REQUIRED, "string")
+    has = required.isNull() | (F.coalesce(kinds[required], F.lit("")) == "STRING") & ((F.col("type") == "method") | (F.coalesce(F.when(F.col("type") == "concept", X.strip(text[required])).otherwise(text[required]), F.lit("")) != ""))
+    none = F.coalesce(F.schema_of_variant(F.try_variant_get("__v", "$.confidence", "variant")) == "VOID", F.lit(False))
     return d.select(
-        *d.columns, F.map_from_entries(F.array_compact(F.array(*fields))).alias("payload"), anchor_of(item).alias("anchor_text"), F.coalesce(F.get_json_object(item, "$.evidence.section"), F.lit("")).alias("section"),
-        F.when(v.isNotNull() & F.coalesce(F.schema_of_variant(F.try_variant_get(v, "$.confidence", "variant")) == "VOID", F.lit(False)), 0.0).otherwise(X.confidence(F.get_json_object(item, "$.confidence"))).alias("confidence"),
-        F.coalesce(known & ok, F.lit(False)).alias("valid"),
+        *items.columns, F.map_from_entries(F.transform("__fields", lambda n: F.struct(n.alias("k"), value(n).alias("v")))).alias("payload"), anchor_of(item).alias("anchor_text"), F.coalesce(F.get_json_object(item, "$.evidence.section"), F.lit("")).alias("section"),
+        F.when(none, 0.0).otherwise(X.confidence(F.get_json_object(item, "$.confidence"))).alias("confidence"), F.coalesce(F.forall("__fields", fine) & has, F.lit(False)).alias("valid"),
     )
 
 
+def _by_type(values: dict, kind: str) -> Column:
+    """Column: what ``values`` has for the row's type, null for an unknown type."""
+    out = F.lit(None).cast(kind)
+    for t, v in values.items():
+        out = F.when(F.col("type") == t, F.array(*map(F.lit, v)).cast(kind) if isinstance(v, list) else F.lit(v)).otherwise(out)
+    return out
+
+
 def concept_keys(payload: Column | str = "payload") -> Column:
     """T-23 on a payload."""
     p = F.col(payload) if isinstance(payload, str) else payload
@@ -206,13 +204,16 @@ def assemble(items: DataFrame, papers: DataFrame, docs_key: str = "source_key")
     Concepts come first in a group so that links find them; every order is an explicit position.
     """
     from paperloom.operators import evidence as E
+    from paperloom.tables import materialise
 
-    valid = parse_items(items).where("valid")
+    # written once each: several steps read them, and their expressions are not repeated in what follows
+    valid = materialise(parse_items(items), "items").where("valid")
     concepts = greedy_concepts(valid.where("type = 'concept'"))
     rest = valid.where("type <> 'concept'")
     all_ = concepts.unionByName(rest).withColumn("key", dedup_key("type", "payload", "anchor_text"))
-    kept = deduplicate(all_)
+    kept = materialise(deduplicate(all_), "kept")
     found = E.locate_and_expand(kept.select("doc_id", docs_key, "pos", "type", "payload", "section", "confidence", "key", "anchor_text"), papers, docs_key)
+    found = materialise(found.drop("pages", "items", "needle"), "located")
     ev = F.struct(F.col("section"), F.col("page"), F.col("anchor_text"), F.col("original_text"), F.col("match_method")).alias("evidence")
     entries = found.select("doc_id", "pos", "type", "payload", ev, "confidence", F.col("key").alias("entry_id"), "source_kind")
     entries, collapsed = collapse_datasets(entries)
