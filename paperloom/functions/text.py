@@ -55,7 +55,7 @@ def truncate_back_matter(x: Column | str) -> Column:
     The list is cut at its last line that follows a gap of more than 500 characters, else at its fifth line from the end.
     """
     x = c(x)
-    tiers = [F.regexp_instr(x, F.lit(p)) for p in BACK_MATTER]
+    tiers = [F.when(x.rlike(p), F.split(x, p, 2)[0]) for p in BACK_MATTER]
     marks = F.regexp_extract_all(x, F.lit(f"({_NUMBERED})"), F.lit(1))
     # where each numbered line starts: the lengths of what lies between them, added up
     gaps = F.transform(F.split(x, _NUMBERED), lambda s: F.length(s))
@@ -63,8 +63,7 @@ def truncate_back_matter(x: Column | str) -> Column:
     n = F.size(marks)
     wide = F.array_max(F.filter(F.sequence(F.lit(2), F.greatest(n, F.lit(2))), lambda i: F.element_at(gaps, i) > 500))
     listed = F.when(n >= 5, start(F.coalesce(F.when(wide <= n, wide), n - 4)))
-    cut = F.coalesce(*[F.when(t > 0, t - 1) for t in tiers], listed)
-    return F.when(cut.isNull(), x).otherwise(F.substring(x, F.lit(1), cut.cast("int")))
+    return F.coalesce(*tiers, F.when(listed.isNotNull(), F.substring(x, F.lit(1), listed.cast("int"))), x)
 
 
 def fix_abstract_order(x: Column | str) -> Column:

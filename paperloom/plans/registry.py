@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-FLAGSHIP = "i1_fingerprint"
+FLAGSHIP = "e05_expand"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -21,3 +21,5 @@ def query(name: str, oracle: str | None = None):
         return f
 
     return add
+
+from paperloom.plans import entry_queries, state_queries, text_queries  # noqa: E402,F401  (they register themselves)
