@@ -1,6 +1,7 @@
 """Problem 1: the language of every text and of every segment of a mixed one.
 
-Method. Rank-order profiles: the most frequent 1- to 3-grams of a language, in order of frequency, are its profile; a piece
+Method. Rank-order profiles: the most frequent 1- to 3-grams of a language (and, as one more gram a letter, the scripts of its
+letters), in order of frequency, are its profile; a piece
 of text has a profile of its own, and the language with the least out-of-place distance (the sum over its n-grams of the
 differences in rank, a fixed penalty for those absent) is its language. Pieces are sentences, or the elements of a list of
 keywords; a Viterbi pass with a cost for every change of language joins them to segments, so that a single foreign term, a
@@ -48,6 +49,8 @@ SEEDS = {
 SIZE = 800
 #: The cost of a change of language, in letters whose n-grams are all absent from one profile and in place in the other.
 SWITCH = 2.5
+#: The same between elements of a list, each of which stands for itself.
+SWITCH_LIST = 1.5
 #: Letters below which a piece has no language of its own: references, formulas, single terms.
 LEAST = 10
 LEAST_CJK = 4
@@ -83,13 +86,18 @@ def normal_label(col):
 
 @lru_cache(maxsize=1)
 def _letters():
+    """Which codes are letters, and the number of the script of each."""
     import numpy as np
 
-    return np.array([chr(c).isalpha() for c in range(0x10000)])
+    code = np.arange(0x10000)
+    script = np.full(0x10000, 5, np.int64)
+    for lo, hi, k in ((0x41, 0x24F, 1), (0x400, 0x52F, 2), (0x3040, 0x30FF, 3), (0x3400, 0x9FFF, 4)):
+        script[(code >= lo) & (code <= hi)] = k
+    return np.array([chr(c).isalpha() for c in range(0x10000)]), script
 
 
 def grams(pieces: list[str]):
-    """(piece index, n-gram code) of all 1- to 3-grams of the pieces, each word framed by blanks."""
+    """(piece index, n-gram code) of all 1- to 3-grams of the pieces, each word framed by blanks, and of the script of each letter."""
     import numpy as np
 
     joined = "\n".join(pieces).lower()
@@ -99,7 +107,7 @@ def grams(pieces: list[str]):
     c = np.where(c > 0xFFFF, 32, c)
     brk = c == 10
     unit = np.cumsum(brk)
-    c = np.where(_letters()[c], c, 32)
+    c = np.where(_letters()[0][c], c, 32)
     keep = np.ones(len(c), bool)
     if len(c) > 1:
         keep[1:] = ~((c[1:] == 32) & (c[:-1] == 32) & ~brk[1:])
@@ -115,7 +123,8 @@ def grams(pieces: list[str]):
     ok2 = same2 & ~((c[:-1] == 32) & (c[1:] == 32))
     ok3 = same3 & (c[1:-1] != 32)
     letters = np.bincount(unit[one], minlength=len(pieces))
-    return np.concatenate((unit[one], unit[1:][ok2], unit[2:][ok3])), np.concatenate((c[one], two[ok2], three[ok3])), letters
+    script = (3 << 60) | _letters()[1][c[one]]
+    return np.concatenate((unit[one], unit[one], unit[1:][ok2], unit[2:][ok3])), np.concatenate((script, c[one], two[ok2], three[ok3])), letters
 
 
 def own_script(piece: str) -> str:
@@ -222,7 +231,7 @@ def _least(piece: str) -> int:
     return LEAST_CJK if any(ch > "⺀" for ch in piece[:40]) else LEAST
 
 
-def segments(costs: list[tuple], pieces: list[str]) -> list[tuple[str, float, int, int]]:
+def segments(costs: list[tuple], pieces: list[str], switch: float = SWITCH) -> list[tuple[str, float, int, int]]:
     """(language, confidence, first piece, end) of the runs that a Viterbi pass over the pieces' costs finds."""
     sure = [i for i, (_, n) in enumerate(costs) if n >= _least(pieces[i])]
     if not sure:
@@ -237,12 +246,12 @@ def segments(costs: list[tuple], pieces: list[str]) -> list[tuple[str, float, in
         c = costs[i][0]
         step, new = [], []
         for k in range(m):
-            if best[k] <= low + SWITCH:
+            if best[k] <= low + switch:
                 step.append(k)
                 new.append(best[k] + c[k])
             else:
                 step.append(j)
-                new.append(low + SWITCH + c[k])
+                new.append(low + switch + c[k])
         back.append(step)
         best = new
     k = best.index(min(best))
@@ -282,7 +291,7 @@ def detect(texts: DataFrame, profiles: dict[int, list[int]]) -> DataFrame:
         kind = pa.list_(pa.struct([("lang", pa.string()), ("confidence", pa.float64()), ("from_piece", pa.int32()), ("to_piece", pa.int32())]))
         model = _loaded(id(run), profiles)
         for b in batches:
-            pieces, bounds = [], [0]
+            pieces, bounds, switches = [], [0], []
             for parts in b.column(3).to_pylist():
                 if parts:
                     if len(parts) == 1 and parts[0]:
@@ -290,10 +299,11 @@ def detect(texts: DataFrame, profiles: dict[int, list[int]]) -> DataFrame:
                     else:
                         pieces += [p for p in parts if p]
                 bounds.append(len(pieces))
+                switches.append(SWITCH_LIST if parts and len(parts) > 1 else SWITCH)
             costs = model.costs(pieces)
             segs = []
-            for lo, hi in zip(bounds, bounds[1:]):
-                segs.append([{"lang": a, "confidence": c, "from_piece": x, "to_piece": y} for a, c, x, y in segments(costs[lo:hi], pieces[lo:hi])])
+            for lo, hi, switch in zip(bounds, bounds[1:], switches):
+                segs.append([{"lang": a, "confidence": c, "from_piece": x, "to_piece": y} for a, c, x, y in segments(costs[lo:hi], pieces[lo:hi], switch)])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(segs, kind)], ["record_id", "field_name", "version", seg_type])
 
     return texts.select("record_id", "field_name", "version", "parts").mapInArrow(run, schema)
@@ -340,13 +350,13 @@ def current_labels(labels: DataFrame) -> DataFrame:
 
 
 def sample_texts(texts: DataFrame, labels: DataFrame, per_language: int = 300) -> list[tuple[str, str]]:
-    """At most ``per_language`` labelled texts of each language, chosen by a hash of their ids: the bounded training sample."""
+    """At most ``per_language`` labelled texts of each language and field, chosen by a hash of their ids: the bounded training sample."""
     from pyspark.sql.window import Window
 
     known = labels.where(F.col("label").isNotNull())
-    by = Window.partitionBy("label").orderBy(F.xxhash64("record_id"), "record_id")
-    # ids only are ranked; a first cut by hash within each partition keeps the window small however many labels there are
-    few = known.withColumn("part", F.spark_partition_id()).withColumn("r", F.row_number().over(Window.partitionBy("label", "part").orderBy(F.xxhash64("record_id"), "record_id"))).where(F.col("r") <= per_language)
-    few = few.withColumn("r", F.row_number().over(by)).where(F.col("r") <= per_language).select("record_id", "field_name", "label")
-    rows = texts.join(F.broadcast(few), ["record_id", "field_name"]).select("label", F.col("parts")[0].alias("t"), "record_id").dropDuplicates(["record_id"]).collect()
-    return [(r["label"], r["t"]) for r in sorted(rows, key=lambda r: r["record_id"]) if r["t"]]
+    order = [F.xxhash64("record_id"), F.col("record_id")]
+    # ids only are ranked; a first cut within each partition keeps the second window small however many labels there are
+    few = known.withColumn("part", F.spark_partition_id()).withColumn("r", F.row_number().over(Window.partitionBy("label", "field_name", "part").orderBy(*order))).where(F.col("r") <= per_language)
+    few = few.withColumn("r", F.row_number().over(Window.partitionBy("label", "field_name").orderBy(*order))).where(F.col("r") <= per_language).select("record_id", "field_name", "label")
+    rows = texts.join(F.broadcast(few), ["record_id", "field_name"]).select("label", F.array_join("parts", ". ").alias("t"), "record_id", "field_name").dropDuplicates(["record_id", "field_name"]).collect()
+    return [(r["label"], r["t"]) for r in sorted(rows, key=lambda r: (r["record_id"], r["field_name"])) if r["t"]]

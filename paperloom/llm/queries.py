@@ -112,7 +112,7 @@ def _p1_segments(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     """The segments of every text (one row a text) and the current labels."""
     labels = langid.current_labels(table(spark, sf_dir, "lang_label").select("record_id", "field_name", "lang_given", "labelled_at"))
     texts = _p1_texts(spark, sf_dir)
-    sample = langid.sample_texts(texts.where("field_name = 'abstract'"), labels.where("field_name = 'abstract'"))
+    sample = langid.sample_texts(texts.where("field_name <> 'original_text'"), labels.where("field_name <> 'original_text'"))
     found = langid.detect(texts, langid.train(sample))
     return found.groupBy("record_id", "field_name").agg(F.max_by("segs", F.struct(F.col("version"), F.to_json("segs"))).alias("segs")), labels
 
