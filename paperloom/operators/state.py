@@ -80,7 +80,7 @@ def eligible(stage: str) -> Column:
 
 def expire(df: DataFrame, stage: str, now_s: float, now: str) -> DataFrame:
     """Running rows whose lease is over are pending again."""
-    over = (F.col(f"{stage}_status") == "running") & (F.col("claimed_at") < now_s - LEASE)
+    over = (F.col(f"{_stage(stage)}_status") == "running") & (F.col("claimed_at") < now_s - LEASE)
     return _update(df, over, {f"{stage}_status": F.lit("pending"), "claimed_at": F.lit(None), "updated_at": F.lit(now)})
 
 
@@ -246,7 +246,7 @@ def linked_first(df: DataFrame, fingerprint: str) -> DataFrame:
     live = df.where(F.col("skip_code").isNull() & F.col(fingerprint).isNotNull())
     # partial minima first: the set that is collected has at most one key a (fingerprint, salt)
     salted = live.groupBy(fingerprint, F.pmod(F.xxhash64("source_key"), F.lit(64)).alias("salt")).agg(F.min("source_key").alias("a"))
-    second = live.join(salted.select(F.col(fingerprint).alias("fp"), "a"), (F.col(fingerprint) == F.col("fp")) & (F.col("source_key") == F.col("a")), "left_anti").groupBy(fingerprint, F.pmod(F.xxhash64("source_key"), F.lit(64)).alias("salt")).agg(F.min("source_key").alias("a"))
+    second = live.join(salted.select(F.col(fingerprint).alias("__f"), "a"), (F.col(fingerprint) == F.col("__f")) & (F.col("source_key") == F.col("a")), "left_anti").groupBy(fingerprint, F.pmod(F.xxhash64("source_key"), F.lit(64)).alias("salt")).agg(F.min("source_key").alias("a"))
     least = salted.unionByName(second).select(fingerprint, F.col("a").alias("source_key")).groupBy(F.col(fingerprint).alias("__fp")).agg(two.alias("__two"))
     out = df.join(least, F.col(fingerprint) == F.col("__fp"), "left")
     return out.withColumn("prior", F.get(F.filter("__two", lambda k: k != F.col("source_key")), F.lit(0))).drop("__fp", "__two")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +13,16 @@ from pyspark.sql.window import Window
 from paperloom.functions import identity, text as X
 
 
+def relative(path: str, root: str):
+    """Column: a file's path below ``root``."""
+    return F.substring_index(F.regexp_replace(path, r"^file:/*", "/"), re.sub(r"^file:/*", "/", root).rstrip("/") + "/", -1)
+
+
 def find(spark: SparkSession, root: str, selected: list[str] | None = None) -> DataFrame:
     """S-1, S-5: (archive, content, archive_sha256_96, archive_size, modified), every ``.zip`` below ``root`` in any letter case, or the
     selected relative paths."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[zZ][iI][pP]").load(root)
-    base = F.lit(root.rstrip("/") + "/")
-    rel = F.substring_index(F.regexp_replace("path", r"^file:/*", "/"), F.regexp_replace(base, r"^file:/*", "/"), -1)
+    rel = relative("path", root)
     out = files.select(rel.alias("archive"), "content", identity.fingerprint("content").alias("archive_sha256_96"), F.col("length").alias("archive_size"), F.col("modificationTime").alias("modified"))
     if selected is not None:
         wanted = spark.createDataFrame([(s,) for s in selected], "archive string").select(identity.archive_path("archive").alias("archive"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperloom.functions import identity, text as X
+from paperloom.sources.archives import relative
 
 
 @dataclass(frozen=True)
@@ -47,8 +48,7 @@ class Settings:
 def read_pdfs(spark: SparkSession, root: str) -> DataFrame:
     """S-8: (source_key, content, source_pdf_sha256_96) of the ``.pdf`` files below a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.pdf").load(root)
-    rel = F.substring_index(F.regexp_replace("path", r"^file:/*", "/"), root.rstrip("/").replace("file:", "") + "/", -1)
-    return files.select(identity.source_key(rel).alias("source_key"), "content", identity.fingerprint("content").alias("source_pdf_sha256_96"))
+    return files.select(identity.source_key(relative("path", root)).alias("source_key"), "content", identity.fingerprint("content").alias("source_pdf_sha256_96"))
 
 
 #: A converter takes the bytes of a paper and gives the text of each page.
@@ -89,9 +89,8 @@ def convert(pdfs: DataFrame, converter: Converter = plain_pages) -> DataFrame:
 
 def read_markdown(spark: SparkSession, root: str) -> DataFrame:
     """S-11: (source_key, text) of the ``.md`` files below a folder."""
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md").text(root)
-    rel = F.substring_index(F.regexp_replace("_metadata.file_path", r"^file:/*", "/"), root.rstrip("/").replace("file:", "") + "/", -1)
-    return files.select(identity.source_key(F.regexp_replace(rel, r"\.md$", ".pdf")).alias("source_key"), F.col("value").alias("text"))
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md")
+    return files.select(identity.source_key(F.regexp_replace(relative("_metadata.file_path", root), r"\.md$", ".pdf")).alias("source_key"), F.col("value").alias("text"))
 
 
 def read_json(spark: SparkSession, root: str, schema: T.StructType | str) -> DataFrame:

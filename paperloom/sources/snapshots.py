@@ -58,10 +58,10 @@ def discard(artifacts: DataFrame, skipped: DataFrame, key: str = "source_key") -
 def artifact_map(spark: SparkSession, root: str, suffix: str, excluded: tuple[str, ...] = ()) -> DataFrame:
     """S-19: (source_key, path, length, modified) of the files with a suffix; contents are not read."""
     from paperloom.functions import identity
+    from paperloom.sources.archives import relative
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(root).select("path", "length", F.col("modificationTime").alias("modified"))
-    rel = F.substring_index(F.regexp_replace("path", r"^file:/*", "/"), root.rstrip("/").replace("file:", "") + "/", -1)
-    out = files.withColumn("source_key", identity.source_key(F.regexp_replace(rel, "\\" + suffix + "$", ".pdf")))
+    out = files.withColumn("source_key", identity.source_key(F.regexp_replace(relative("path", root), "\\" + suffix + "$", ".pdf")))
     for d in excluded:
         out = out.where(~F.col("path").contains(f"/{d}/"))
     return out
