@@ -195,3 +195,29 @@ def p5_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The make-up of the corpus: papers and weight of each subject area."""
     found, _ = _p5_assigned(spark, sf_dir)
     return found.groupBy("area").agg(F.countDistinct("doc_id").alias("papers"), F.round(F.sum("share"), 4).alias("weight"))
+
+
+@query
+def p4_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every abstract, introduction and piece of evidence as continuous paragraphs."""
+    return scan_noise.repair(_p4_texts(spark, sf_dir).where(F.length("text") > 0)).distinct()
+
+
+@query
+def p6_source_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source truncates: cut and all values of each field."""
+    cut = truncation.find_cut(_cut_fields(spark, sf_dir)).withColumn("cut", F.lit(True))
+    meta = table(spark, sf_dir, "metadata").where(F.length("introduction") > 0).select(F.col("doc_id").alias("record_id"), F.lit("introduction").alias("field_name"), F.substring_index("source_file", "/", 1).alias("source"))
+    entry = table(spark, sf_dir, "entry").where(F.length("evidence.original_text") > 0).select(F.col("entry_id").alias("record_id"), F.lit("original_text").alias("field_name"), "source")
+    docs = table(spark, sf_dir, "documents").where(F.length("text") > 0).select(F.col("source_key").alias("record_id"), F.lit("char_count").alias("field_name"), "source")
+    every = meta.unionByName(entry).unionByName(docs).distinct()
+    rates = every.join(cut, ["record_id", "field_name"], "left").groupBy("source", "field_name").agg(F.count("*").alias("n"), F.count("cut").alias("cut"))
+    return rates.withColumn("share", F.round(F.col("cut") / F.col("n"), 4))
+
+
+@query
+def p2_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of values that no entry takes, with their number of records."""
+    entered = materialise(_entered(spark, sf_dir), "entered")
+    mapped = canonical.map_values(entered, table(spark, sf_dir, "ref_list"), head_fields=("method_type",)).where("ref_id = 'NONE'")
+    return entered.join(mapped.select("field_name", "value"), ["field_name", "value"], "left_semi").groupBy("field_name", "value").agg(F.countDistinct("record_id").alias("records"))

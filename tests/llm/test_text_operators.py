@@ -244,3 +244,16 @@ def test_residue_documents(spark):
     assert sorted(r.doc_id for r in got if r.residue) == [100, 101, 102, 103, 104]
     assert len(got) == len({r.doc_id for r in got})
     assert residue.classify(df.limit(0)).count() == 0
+
+
+def test_repair(spark):
+    base = [("b%d" % i, "abstract", "The measurement of modern methods is common. The measurement of well-defined methods was common.") for i in range(40)]
+    texts = [
+        ("a", "abstract", "The measure-\nment of modcrn\n- 12 -\nmethods is cornmon. The\n\nSmith et al. – On modern methods\n\nrneasurement of well-\ndefined methods was common."), ("n", "abstract", None), ("e", "abstract", ""),
+        ("p", "abstract", "The measurement\nof modern methods is common.\n\nThe measurement of methods was common."),
+    ]
+    df = spark.createDataFrame(base + texts, "record_id string, field_name string, text string")
+    got = {r.record_id: r.repaired for r in scan_noise.repair(df).collect()}
+    assert got["a"] == "The measurement of modern methods is common. The measurement of well-defined methods was common."
+    assert got["n"] is None and got["e"] == "" and got["b0"] == base[0][2]
+    assert got["p"] == "The measurement of modern methods is common.\n\nThe measurement of methods was common."
