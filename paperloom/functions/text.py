@@ -185,6 +185,11 @@ def _holds_any(x: Column, phrases: tuple[str, ...]) -> Column:
     return out
 
 
+def stem(key: Column | str) -> Column:
+    """The file name of a key without its suffix."""
+    return F.regexp_replace(F.regexp_replace(c(key), r"^.*/", ""), r"\.[^.]*$", "")
+
+
 def title(x: Column | str, stem: Column | str) -> Column:
     """T-15: the title: the first acceptable ``# `` line, else the first acceptable ``## `` line, else the file stem."""
     lines = F.split(c(x), "\n")

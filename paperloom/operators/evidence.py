@@ -51,9 +51,10 @@ def locate(anchors: DataFrame, papers: DataFrame, key: str = "source_key", ancho
     """E-1, E-2: the anchors with ``needle``, ``pidx``, ``bidx``, ``page`` and ``match_method`` (exact, unique_fragment, unmatched) and
     the paper's ``pages`` and ``items``. ``papers``: as of :func:`segments.structure`.
 
-    The page comes before the kind of match: a run of blocks on an early page wins over a block of a later one.
+    Both sides are hashed by the paper's key and merged: a paper's structure is many times its text, and no estimate of its size is
+    trusted for a broadcast. The page comes before the kind of match: a run of blocks on an early page wins over a block of a later one.
     """
-    j = anchors.withColumn("needle", X.normalise_match(F.coalesce(F.col(anchor), F.lit("")))).join(papers, key, "left")
+    j = anchors.withColumn("needle", X.normalise_match(F.coalesce(F.col(anchor), F.lit("")))).join(papers.hint("merge"), key, "left")
     at = F.transform("pages", lambda p: F.struct(p["pidx"].alias("pidx"), p["page"].alias("page"), _best_in_page(p, F.col("needle")).alias("bidx")))
     j = j.withColumn("__at", F.when(F.col("needle") != "", F.get(F.filter(at, lambda x: x["bidx"].isNotNull()), F.lit(0))))
     blocks = F.flatten(F.transform("pages", lambda p: F.transform(p["blocks"], lambda b, i: F.struct(p["pidx"].alias("pidx"), p["page"].alias("page"), i.alias("bidx"), b["norm"].alias("norm")))))
@@ -144,6 +145,7 @@ def audit_summary(rows: DataFrame) -> DataFrame:
 
 
 def locate_and_expand(anchors: DataFrame, docs: DataFrame, key: str = "source_key", anchor: str = "anchor_text") -> DataFrame:
-    """The whole of it: papers cut up once, anchors located and expanded. Papers without anchors are not cut up."""
-    wanted = docs.join(anchors.select(key).distinct(), key, "left_semi")
+    """The whole of it: papers cut up once, anchors located and expanded. Papers without anchors are not cut up; the texts are hashed by
+    key before they are, so that the cutting is spread and the join needs no further shuffle of them."""
+    wanted = docs.join(anchors.select(key).distinct(), key, "left_semi").repartition(key)
     return expand(locate(anchors, segments.structure(wanted, key), key, anchor), anchor)

@@ -17,10 +17,9 @@ LEVEL1 = (
 
 def cascade(docs: DataFrame, key: str = "source_key", text: str = "text") -> DataFrame:
     """T-15 to T-20: (key, title, doi, year, abstract, introduction, keywords) read from the text; keywords are null without a section."""
-    stem = F.regexp_replace(F.regexp_replace(F.col(key), r"^.*/", ""), r"\.[^.]*$", "")
     kw = X.keywords_of(text)
     return docs.select(
-        key, X.title(text, stem).alias("title"), X.doi_candidate(text).alias("doi"), X.year_candidate(text).alias("year"), X.abstract_candidate(text).alias("abstract"), X.introduction_candidate(text).alias("introduction"), kw.alias("keywords")
+        key, X.title(text, X.stem(key)).alias("title"), X.doi_candidate(text).alias("doi"), X.year_candidate(text).alias("year"), X.abstract_candidate(text).alias("abstract"), X.introduction_candidate(text).alias("introduction"), kw.alias("keywords")
     )
 
 

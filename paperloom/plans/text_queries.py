@@ -13,11 +13,11 @@ from paperloom.operators import segments as G
 from paperloom.plans import duck
 from paperloom.plans.duck import norm, q, rx, section, sentences, squeeze, strip
 from paperloom.plans.registry import query
-from paperloom.tables import materialise, table
+from paperloom.tables import materialise, spread, table
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", "source_key", "text")
+    return spread(table(spark, d, "documents").select("doc_id", "source_key", "text"))
 
 
 _BM = [
@@ -130,7 +130,7 @@ _H2 = f"list_filter(list_transform(list_filter(lines, lambda l: starts_with(l, '
 
 @query("t15_title", f"SELECT doc_id, coalesce(CASE WHEN length(h1) >= 10 THEN h1 END, h2, translate(regexp_replace(regexp_replace(source_key, '^.*/', ''), '\\.[^.]*$', ''), '_-', '  ')) AS title FROM (SELECT doc_id, source_key, {_H1} AS h1, {_H2} AS h2 FROM (SELECT *, string_split(text, chr(10)) AS lines FROM documents))")
 def t15_title(spark, d):
-    return M.cascade(table(spark, d, "documents")).join(table(spark, d, "documents").select("doc_id", "source_key"), "source_key").select("doc_id", "title")
+    return _docs(spark, d).select("doc_id", X.title("text", X.stem("source_key")).alias("title"))
 
 
 @query("t16_doi", "SELECT doc_id, coalesce(nullif(rtrim(regexp_extract(text, '(?i)doi\\.org/(10\\.\\d{4,}/\\S+)', 1), '.'), ''), nullif(rtrim(regexp_extract(substr(text, 1, 3000), '(10\\.\\d{4,}/[^\\s\"'']+)', 1), '.,;:)]}'), '')) AS doi FROM documents")
@@ -240,7 +240,7 @@ SELECT a.doc_id, a.anchor_text, b.page, b.bidx FROM anchors a LEFT JOIN best b O
 
 @query("e01_locate_exact", _LOCATE)
 def e01_locate_exact(spark, d):
-    f = E.locate(_anchors(spark, d), G.structure(_docs(spark, d).drop("doc_id")))
+    f = E.locate(_anchors(spark, d), G.structure(_docs(spark, d).drop("doc_id").repartition("source_key")))
     exact = F.col("match_method") == "exact"
     return f.select("doc_id", "anchor_text", F.when(exact, F.col("page")).alias("page"), F.when(exact, F.col("bidx")).alias("bidx"))
 
@@ -249,7 +249,7 @@ def e01_locate_exact(spark, d):
 def e02_unique_fragment(spark, d):
     """Anchors with a wrong start, which only a fragment can locate."""
     a = table(spark, d, "metadata").where(F.length("abstract") >= 200).select(F.col("source_file").alias("source_key"), "doc_id", F.concat(F.lit("@@@@ "), F.substring("abstract", 1, 190)).alias("anchor_text")).distinct()
-    return E.locate(a, G.structure(_docs(spark, d).drop("doc_id"))).select("doc_id", "anchor_text", "match_method", "page", "bidx")
+    return E.locate(a, G.structure(_docs(spark, d).drop("doc_id").repartition("source_key"))).select("doc_id", "anchor_text", "match_method", "page", "bidx")
 
 
 def _expanded(spark: SparkSession, d: str) -> DataFrame:

@@ -62,3 +62,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 def is_small(df: DataFrame, limit: int) -> bool:
     """Whether ``df`` has at most ``limit`` rows; reads no further than that."""
     return df.limit(limit + 1).count() <= limit
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its input has fewer splits than there are cores (a small or unsplittable file); as it is otherwise.
+
+    For scans before costly maps over texts: a large table has many splits and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if 0 < splits < cores else df
