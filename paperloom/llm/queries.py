@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import canonical, encoding, langid, markup, packing, residue, scan_noise, subjects, truncation
-from paperloom.tables import materialise, table
+from paperloom.tables import materialise, spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,30 +19,34 @@ def query(f):
     return f
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ids of every document by byte_bpe_50k."""
-    return encoding.encode_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return encoding.encode_texts(_texts(spark, sf_dir), "doc_id", "text")
 
 
 @query
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, sized in tokens of byte_bpe_50k, in a container of each capacity."""
-    sizes = encoding.count_tokens(table(spark, sf_dir, "documents"), "doc_id", "text")
+    sizes = encoding.count_tokens(_texts(spark, sf_dir), "doc_id", "text")
     return packing.pack(sizes, table(spark, sf_dir, "container_spec"))
 
 
 @query
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that are residue in place of a paper."""
-    return residue.classify(table(spark, sf_dir, "documents")).where("residue").select("doc_id")
+    return residue.classify(_texts(spark, sf_dir)).where("residue").select("doc_id")
 
 
 @query
 def p9_clean_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus without residue, with a flag for open slots inside ordinary documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
-    verdicts = residue.classify(table(spark, sf_dir, "documents"))
+    verdicts = residue.classify(_texts(spark, sf_dir))
     return docs.join(verdicts, "doc_id", "left").where(~F.coalesce("residue", F.lit(False))).select("doc_id", "source", "n_chars", F.coalesce("open_slots", F.lit(False)).alias("open_slots"))
 
 
@@ -87,7 +91,7 @@ def _cut_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta = table(spark, sf_dir, "metadata").select(F.col("doc_id").alias("record_id"), F.lit("introduction").alias("field_name"), F.col("introduction").alias("text"))
     entry = table(spark, sf_dir, "entry").select(F.col("entry_id").alias("record_id"), F.lit("original_text").alias("field_name"), F.col("evidence.original_text").alias("text"))
     docs = table(spark, sf_dir, "documents").select(F.col("source_key").alias("record_id"), F.lit("char_count").alias("field_name"), "text")
-    return meta.unionByName(entry).unionByName(docs)
+    return spread(meta.unionByName(entry).unionByName(docs))
 
 
 @query
@@ -105,7 +109,7 @@ def _p1_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     abstracts = meta.where(F.length("abstract") > 0).select(F.col("doc_id").alias("record_id"), F.lit("abstract").alias("field_name"), when, F.array("abstract").alias("parts"))
     keywords = meta.where(F.size("keywords") > 0).select(F.col("doc_id").alias("record_id"), F.lit("keywords").alias("field_name"), when, F.col("keywords").alias("parts"))
     evidence = entry.where(F.length("evidence.original_text") > 0).select(F.col("entry_id").alias("record_id"), F.lit("original_text").alias("field_name"), F.lit(None).cast("string").alias("version"), F.array("evidence.original_text").alias("parts"))
-    return abstracts.unionByName(keywords).unionByName(evidence)
+    return spread(abstracts.unionByName(keywords).unionByName(evidence))
 
 
 def _p1_segments(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -142,7 +146,7 @@ def _p3_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta, entry = table(spark, sf_dir, "metadata"), table(spark, sf_dir, "entry")
     fields = F.explode(F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in ("title", "abstract")))).alias("x")
     own = meta.select(F.col("doc_id").alias("record_id"), fields).select("record_id", "x.field_name", "x.text")
-    return own.unionByName(entry.select(F.col("entry_id").alias("record_id"), F.lit("original_text").alias("field_name"), F.col("evidence.original_text").alias("text"))).where(F.length("text") > 0)
+    return own.unionByName(entry.select(F.col("entry_id").alias("record_id"), F.lit("original_text").alias("field_name"), F.col("evidence.original_text").alias("text"))).where(F.length("text") > 0).transform(spread)
 
 
 @query
@@ -162,7 +166,7 @@ def _p4_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     meta, entry = table(spark, sf_dir, "metadata"), table(spark, sf_dir, "entry")
     fields = F.explode(F.array(*(F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in ("abstract", "introduction")))).alias("x")
     own = meta.select(F.col("doc_id").alias("record_id"), fields).select("record_id", "x.field_name", "x.text")
-    return own.unionByName(entry.select(F.col("entry_id").alias("record_id"), F.lit("original_text").alias("field_name"), F.col("evidence.original_text").alias("text")))
+    return spread(own.unionByName(entry.select(F.col("entry_id").alias("record_id"), F.lit("original_text").alias("field_name"), F.col("evidence.original_text").alias("text"))))
 
 
 @query
