@@ -147,3 +147,28 @@ def k04_valid_items(spark, d):
 @query("pred09_type_counts_valid", f"SELECT type, count(*) AS n FROM {_E} WHERE confidence >= 0.5 GROUP BY 1")
 def pred09_type_counts_valid(spark, d):
     return N.parse_items(_items(spark, d)).where("confidence >= 0.5").groupBy("type").agg(F.count("*").alias("n"))
+
+
+def _replies(spark: SparkSession, d: str) -> DataFrame:
+    """Each entry as a reply of its own."""
+    return _items(spark, d).select("doc_id", "entry_id", F.concat(F.lit('{"entries": ['), "item", F.lit("]}")).alias("reply"))
+
+
+@query("n05_unified_replies", f"SELECT entry_id, type, 0 AS pos FROM {_E}")
+def n05_unified_replies(spark, d):
+    return N.unify_reply(_replies(spark, d)).select("entry_id", "type", "pos")
+
+
+@query("n06_payloads", f"SELECT entry_id, coalesce(payload['head_term'], payload['name'], payload['term'], payload['metric'], '') AS main FROM {_E} WHERE type IN ('relation', 'dataset', 'concept', 'performance_result')")
+def n06_payloads(spark, d):
+    p = N.parse_items(N.unify_reply(_replies(spark, d))).where(F.col("type").isin("relation", "dataset", "concept", "performance_result"))
+    return p.select("entry_id", F.coalesce(F.col("payload")["head_term"], F.col("payload")["name"], F.col("payload")["term"], F.col("payload")["metric"]).alias("main"))
+
+
+@query("k01_assembled_entries")
+def k01_assembled_entries(spark, d):
+    """The entries as raw items, assembled anew against the texts of their papers."""
+    keys = table(spark, d, "metadata").select("doc_id", F.col("source_file").alias("source_key")).distinct()
+    items = _items(spark, d).join(keys, "doc_id").select("doc_id", "source_key", F.col("entry_id").alias("pos"), "type", "item")
+    out = N.assemble(items, table(spark, d, "documents").select("source_key", "text"))["entries"]
+    return out.select("public_id", "doc_id", "type", F.to_json("payload").alias("payload"), "evidence.page", "evidence.match_method", "evidence.original_text", "confidence", "head_entry_id", "tail_entry_id")

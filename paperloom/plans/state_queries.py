@@ -290,3 +290,40 @@ def st01_event_windows(spark, d):
 @query("pred10_confidence", "SELECT event_id, CASE WHEN k IS NULL THEN 1.0 ELSE greatest(0.0, least(1.0, k)) END AS confidence FROM (SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events)")
 def pred10_confidence(spark, d):
     return table(spark, d, "events").select("event_id", X.confidence(F.get_json_object("props", "$.k")).alias("confidence"))
+
+
+@query("s03_zip_members", "SELECT source_key AS archive, 'in/paper.pdf' AS member, substr(sha256(text), 1, 24) AS sha256_96 FROM documents WHERE text IS NOT NULL")
+def s03_zip_members(spark, d):
+    """Each paper in an archive of its own beside members to be left out; unpacked again."""
+
+    def pack(batches):
+        import io
+        import zipfile
+
+        import pyarrow as pa
+
+        for b in batches:
+            out = []
+            for text in b.column(1).to_pylist():
+                buf = io.BytesIO()
+                with zipfile.ZipFile(buf, "w") as z:
+                    z.writestr("in/paper.pdf", text)
+                    z.writestr("__MACOSX/paper.pdf", "x")
+                    z.writestr("note.txt", "x")
+                out.append(buf.getvalue())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["archive", "content"])
+
+    docs = table(spark, d, "documents").where("text IS NOT NULL").select("source_key", "text")
+    return archives.members(docs.mapInArrow(pack, "archive string, content binary"), with_bytes=False).select("archive", "member", "sha256_96")
+
+
+@query("s10_converted", "SELECT source_key, length(text) + 17 AS char_count FROM documents WHERE text IS NOT NULL AND NOT contains(text, chr(12)) AND NOT regexp_matches(text, '(?i)\\n(?:#{1,2}\\s+)?\\*?\\*?\\s*(?:References?|Bibliography|参考文献|引用文献|Acknowledg(?:e?)ments?|Author\\s+Contributions?|Supplementary|Appendices|Data\\s+Availability)\\s*\\*?\\*?\\s*\\n|(?m)^\\s*[-–••*\\[]\\s*\\[?\\d{1,4}\\]?\\s|##\\s+\\*?\\*?Abstract')")
+def s10_converted(spark, d):
+    """The texts as files of one page through the converter; those without back matter, lists or abstract come out as they are."""
+    from paperloom.functions.text import BACK_MATTER, _NUMBERED
+    from paperloom.sources import documents
+
+    docs = table(spark, d, "documents").where("text IS NOT NULL").select("source_key", F.col("text").cast("binary").alias("content"), "text")
+    for p in (*BACK_MATTER, _NUMBERED, r"(?i)##\s+\*?\*?Abstract", "\f"):
+        docs = docs.where(~F.col("text").rlike(p))
+    return documents.convert(docs).select("source_key", "char_count")
