@@ -51,7 +51,7 @@ def map_values(values: DataFrame, refs: DataFrame, head_fields: tuple[str, ...]
     may also be the head of a longer wording ("expert interviews") or be shortened word by word ("algo").
 
     Defined cases: null and empty values give no row; a blank value is ``NONE``; repeated values give one row; of entries at the
-    same distance the least ref_id is taken; an entry without text is never taken; very long values match only as they stand
+    same distance the one that shares most signs, then the least ref_id, is taken; an entry without text is never taken; very long values match only as they stand
     (they exceed every entry by more than the edits allowed); empty tables give an empty result; other columns are ignored.
     """
     spark: SparkSession = values.sparkSession
@@ -145,8 +145,8 @@ def map_values(values: DataFrame, refs: DataFrame, head_fields: tuple[str, ...]
         pairs AS (
           SELECT DISTINCT p.field_name, p.value, p.form, r.ref_id, r.form AS ref_form, r.k
           FROM probes p JOIN {s} r ON p.field_name = r.field_name AND p.n = r.n AND p.k = r.k AND p.i = r.i AND p.seg = r.seg)
-        SELECT field_name, value, min_by(ref_id, struct(edits, ref_id)) AS ref_id, min(edits) AS edits
-        FROM (SELECT *, levenshtein(form, ref_form) AS edits FROM pairs)
+        SELECT field_name, value, min_by(ref_id, struct(edits, -shared, ref_id)) AS ref_id, min(edits) AS edits
+        FROM (SELECT *, levenshtein(form, ref_form) AS edits, size(array_intersect(split(form, ''), split(ref_form, ''))) AS shared FROM pairs)
         WHERE edits <= k OR (edits = 2 AND length(form) = length(ref_form) AND sort_array(split(form, '')) = sort_array(split(ref_form, '')))
         GROUP BY field_name, value""",
         v=rest,

@@ -225,3 +225,57 @@ def p2_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     entered = materialise(_entered(spark, sf_dir), "entered")
     mapped = canonical.map_values(entered, table(spark, sf_dir, "ref_list"), head_fields=("method_type",)).where("ref_id = 'NONE'")
     return entered.join(mapped.select("field_name", "value"), ["field_name", "value"], "left_semi").groupBy("field_name", "value").agg(F.countDistinct("record_id").alias("records"))
+
+
+def _p2_oracle() -> str:
+    """DuckDB SQL of p2_found: the same forms, every pair of value and entry compared instead of the pigeonhole join."""
+    c = canonical
+    esc = lambda s: s.replace("'", "''")
+    plain = lambda x: f"trim(regexp_replace(translate(lower({x}), '{c.TRADITIONAL}{c.LOOKALIKE}', '{c.SIMPLIFIED}{c.MEANT}'), '[\\s\\p{{Z}}\\x{{0B}}\\x{{85}}]+', ' ', 'g'))"
+    compact = lambda x: f"regexp_replace({x}, '[^\\pL\\pN]', '', 'g')"
+    sub = lambda x, p: f"regexp_replace({x}, '{esc(p)}', '')"
+    tail = lambda x: f"regexp_replace({x}, '{esc(c.TAIL)}', '', 'g')"
+    k = "CASE WHEN regexp_matches(form, '[\\x{3400}-\\x{9fff}]') THEN CASE WHEN n >= 4 THEN 2 WHEN n = 3 THEN 1 ELSE 0 END WHEN n >= 8 THEN 2 WHEN n >= 5 THEN 1 ELSE 0 END"
+    toks = lambda x: f"string_split_regex({x}, '[^\\pL\\pN]+')"
+    # levenshtein counts bytes here: the signs of a pair are first mapped to one byte each
+    signs = lambda a, b: f"array_to_string(list_distinct(string_split({a} || {b}, '')), '')"
+    byte = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789!#$%&()*+,-./:;<=>?@^_{|}~"
+    one = lambda x, a, b: f"translate({x}, {signs(a, b)}, substr('{byte}', 1, length({signs(a, b)})))"
+    lev = lambda a, b: f"levenshtein({one(a, a, b)}, {one(b, a, b)})"
+    return f"""
+WITH d AS (
+  SELECT doc_id AS record_id, 0 AS pos, primary_discipline.level2 AS l2, primary_discipline.level3 AS l3 FROM metadata
+  UNION ALL SELECT doc_id, i, secondary_disciplines[i].level2, secondary_disciplines[i].level3 FROM metadata m, unnest(range(1, len(m.secondary_disciplines) + 1)) AS u(i)),
+entered AS (
+  SELECT DISTINCT * FROM (
+    SELECT record_id, 'level2' AS field_name, pos, l2 AS value FROM d UNION ALL SELECT record_id, 'level3', pos, l3 FROM d
+    UNION ALL SELECT entry_id, 'std_label', 0, payload['std_label'] FROM entry WHERE type = 'concept'
+    UNION ALL SELECT entry_id, 'method_type', 0, payload['method_type'] FROM entry WHERE type = 'method') v
+  WHERE value IS NOT NULL AND value <> '' AND NOT EXISTS (SELECT 1 FROM ref_list r WHERE r.field_name = v.field_name AND r.canon = v.value)),
+vals AS (SELECT DISTINCT field_name, value FROM entered),
+refs AS (SELECT *, {k} AS k, {toks("words")} AS toks FROM (SELECT ref_id, field_name, {compact("p")} AS form, length({compact("p")}) AS n, p AS words FROM (SELECT ref_id, field_name, {plain("x")} AS p FROM (SELECT ref_id, field_name, unnest([canon, canon_alt]) AS x FROM ref_list) WHERE x IS NOT NULL)) WHERE n > 0),
+plain AS (SELECT field_name, value, {sub(plain("value"), c.CODE)} AS p FROM vals),
+halves AS (SELECT DISTINCT field_name, value, unnest(list_concat(list_concat(list_concat(list_concat([p], string_split_regex(p, '\\s*/\\s*')), string_split(p, ' - ')), string_split_regex(p, '[（(]')), CASE WHEN len(string_split(p, ', ')) = 2 THEN [string_split(p, ', ')[2] || ' ' || string_split(p, ', ')[1]] ELSE []::VARCHAR[] END)) AS h FROM plain),
+shorn AS (SELECT field_name, value, unnest([h, {sub("h", c.LEAD)}, {tail("h")}, {tail(sub("regexp_replace(h, '[.。；;]+" + chr(92) + "s*$', '')", c.LEAD))}]) AS h FROM halves),
+forms AS (SELECT field_name, value, form, length(form) AS n, min(h) AS words FROM (SELECT field_name, value, h, {compact("h")} AS form FROM shorn) WHERE form <> '' GROUP BY 1, 2, 3),
+equal AS (SELECT f.field_name, f.value, min(r.ref_id) AS ref_id FROM forms f JOIN refs r ON f.field_name = r.field_name AND (f.form = r.form OR f.form = r.form || 's') GROUP BY 1, 2),
+w AS (SELECT field_name, value, {toks("words")} AS w FROM forms WHERE field_name = 'method_type'),
+runs AS (SELECT field_name, value, array_to_string(w[i : j], '') AS run FROM w, range(1, 7) AS a(i), range(1, 7) AS b(j) WHERE len(w) BETWEEN 2 AND 6 AND i <= j AND j <= i + 2 AND j <= len(w)),
+headed AS (
+  SELECT field_name, value, min(ref_id) AS ref_id FROM (
+    SELECT u.field_name, u.value, r.ref_id FROM runs u JOIN refs r ON u.field_name = r.field_name AND (u.run = r.form OR u.run = r.form || 's') WHERE r.n >= 5
+    UNION ALL SELECT w.field_name, w.value, r.ref_id FROM w JOIN refs r ON w.field_name = r.field_name AND len(w.w) = len(r.toks) AND len(list_filter(range(1, len(w.w) + 1), lambda i: length(w.w[i]) >= 4 AND starts_with(r.toks[i], w.w[i]))) = len(w.w))
+  GROUP BY 1, 2 HAVING count(DISTINCT ref_id) = 1),
+done AS (SELECT * FROM equal UNION ALL SELECT * FROM headed h WHERE NOT EXISTS (SELECT 1 FROM equal e WHERE e.field_name = h.field_name AND e.value = h.value)),
+near AS (
+  SELECT field_name, value, arg_min(ref_id, edits * 1000000 - shared * 1000 + rank) AS ref_id FROM (
+    SELECT *, dense_rank() OVER (ORDER BY ref_id) AS rank FROM (
+      SELECT f.field_name, f.value, r.ref_id, r.k, f.form, r.form AS rform, {lev("f.form", "r.form")} AS edits, len(list_distinct(list_intersect(string_split(f.form, ''), string_split(r.form, '')))) AS shared FROM forms f JOIN refs r ON f.field_name = r.field_name
+      WHERE f.n BETWEEN 3 AND 80 AND r.k > 0 AND abs(f.n - r.n) <= 2 AND NOT EXISTS (SELECT 1 FROM done e WHERE e.field_name = f.field_name AND e.value = f.value)))
+  WHERE edits <= k OR (k > 0 AND edits = 2 AND length(form) = length(rform) AND list_sort(string_split(form, '')) = list_sort(string_split(rform, '')))
+  GROUP BY 1, 2),
+found AS (SELECT * FROM done UNION ALL SELECT * FROM near)
+SELECT DISTINCT e.record_id, e.field_name, CAST(e.pos AS INTEGER) AS pos, coalesce(f.ref_id, 'NONE') AS ref_id FROM entered e LEFT JOIN found f ON e.field_name = f.field_name AND e.value = f.value"""
+
+
+ORACLES["p2_found"] = _p2_oracle()
