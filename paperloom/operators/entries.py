@@ -161,7 +161,7 @@ def collapse_datasets(entries: DataFrame, by: str = "doc_id", order: str = "pos"
     return entries.join(removed, [by, order], "left_anti"), report
 
 
-def public_ids(entries: DataFrame, by: str = "doc_id", order: str = "pos", blocks: int | None = None) -> DataFrame:
+def public_ids(entries: DataFrame, by: str = "doc_id", order: str = "pos") -> DataFrame:
     """W-4: entries with ``public_id``: paper, type and the entry's number among its paper's entries of the type."""
     n = F.row_number().over(Window.partitionBy(by, "type").orderBy(order))
     return entries.withColumn("public_id", F.format_string("%s_%s_%04d", F.col(by), F.col("type"), n))

@@ -33,7 +33,7 @@ def convert_stage(state: DataFrame, pdfs: DataFrame, now: str, min_chars: int =
         .withColumn("hit", F.lit(True))
     )
     cols = state.columns
-    s = state.drop("source_pdf_sha256_96x").join(materialise(facts, "facts"), "source_key", "left")
+    s = state.join(materialise(facts, "facts"), "source_key", "left")
     hit, good = F.col("hit") & F.col("is_kept"), F.col("hit") & F.col("is_kept") & F.col("error").isNull()
     s = S._update(s, F.col("hit"), {"source_pdf_sha256_96": F.col("fp"), "content_hash": F.col("fp"), "doc_id": identity.doc_id_or_null("fp")})
     s = S.mark_done(s, good, "convert", now)
