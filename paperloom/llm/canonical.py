@@ -2,7 +2,8 @@
 
 Method. A partition-based pigeonhole join: the reference strings are cut into k + 1 segments, of which a value within
 k edits must hold one unchanged and at most k places from its own place; segments are joined by equality on positional
-substrings, candidates verified with the built-in ``levenshtein``, and what no entry takes is reported through an anti join.
+substrings, swapped letters by equality of the sorted letters, candidates verified with the built-in ``levenshtein``, and what no entry takes
+is reported through an anti join.
 Before that, values are brought to plain forms (case, width, quotes, codes, script variants, other-language doubles,
 inverted word order), of which any may match; a value that equals an entry in such a form needs no edits at all.
 """
@@ -125,7 +126,8 @@ def map_values(values: DataFrame, refs: DataFrame, head_fields: tuple[str, ...]
 
     done = materialise(done, "done")
 
-    # 3. within k edits: pigeonhole over segments
+    # 3. within k edits: pigeonhole over segments; swapped letters are two edits, for which the two segments of k = 1 do not suffice, and
+    # are joined by their sorted letters
     rest = spark.sql("SELECT f.field_name, f.value, f.form, f.n FROM {f} f LEFT ANTI JOIN {d} d ON f.field_name = d.field_name AND f.value = d.value WHERE f.n BETWEEN 3 AND 80", f=forms, d=done)
     segments = spark.sql(
         """
@@ -143,8 +145,12 @@ def map_values(values: DataFrame, refs: DataFrame, head_fields: tuple[str, ...]
           LATERAL VIEW explode(sequence(greatest(1, s.start - s.k), greatest(1, s.start + s.k))) t AS at
           WHERE at + s.size - 1 <= v.n),
         pairs AS (
-          SELECT DISTINCT p.field_name, p.value, p.form, r.ref_id, r.form AS ref_form, r.k
-          FROM probes p JOIN {s} r ON p.field_name = r.field_name AND p.n = r.n AND p.k = r.k AND p.i = r.i AND p.seg = r.seg)
+          SELECT p.field_name, p.value, p.form, r.ref_id, r.form AS ref_form, r.k
+          FROM probes p JOIN {s} r ON p.field_name = r.field_name AND p.n = r.n AND p.k = r.k AND p.i = r.i AND p.seg = r.seg
+          UNION
+          SELECT v.field_name, v.value, v.form, r.ref_id, r.form, r.k
+          FROM (SELECT *, array_join(sort_array(split(form, '')), '') AS letters FROM {v}) v
+          JOIN (SELECT *, array_join(sort_array(split(form, '')), '') AS letters FROM {r} WHERE k > 0) r ON v.field_name = r.field_name AND v.letters = r.letters)
         SELECT field_name, value, min_by(ref_id, struct(edits, -shared, ref_id)) AS ref_id, min(edits) AS edits
         FROM (SELECT *, levenshtein(form, ref_form) AS edits, size(array_intersect(split(form, ''), split(ref_form, ''))) AS shared FROM pairs)
         WHERE edits <= k OR (edits = 2 AND length(form) = length(ref_form) AND sort_array(split(form, '')) = sort_array(split(ref_form, '')))
@@ -152,6 +158,7 @@ def map_values(values: DataFrame, refs: DataFrame, head_fields: tuple[str, ...]
         v=rest,
         sh=shapes,
         s=segments,
+        r=ref_forms,
     )
     found = materialise(spark.sql("SELECT * FROM {d} UNION ALL SELECT * FROM {c}", d=done, c=close), "found")
     return spark.sql(
