@@ -218,8 +218,16 @@ def k10_assembled(spark, d):
     return M.assemble(answers, M.cascade(table(spark, d, "documents")))
 
 
+def _entry_anchors(spark: SparkSession, d: str) -> DataFrame:
+    """The anchors of all entries: (source_key, doc_id, entry_id, type, anchor_text), a repeated delivery once. The key of an entry's paper is
+    null where no metadata has it; such an anchor is not located and still counts."""
+    keys = table(spark, d, "metadata").groupBy("doc_id").agg(F.min("source_file").alias("source_key"))
+    e = table(spark, d, "entry").where(F.col("evidence.anchor_text").isNotNull()).select("doc_id", "entry_id", "type", F.col("evidence.anchor_text").alias("anchor_text")).distinct()
+    return e.join(keys, "doc_id", "left").select("source_key", "doc_id", "entry_id", "type", "anchor_text")
+
+
 def _anchors(spark: SparkSession, d: str) -> DataFrame:
-    """The starts of the abstracts as anchors: (source_key, doc_id, anchor_text). An anchor is a short quotation by definition."""
+    """The starts of the abstracts as anchors, for e01_locate_exact and its SQL: (source_key, doc_id, anchor_text)."""
     a = table(spark, d, "metadata").where(F.length("abstract") >= 20)
     return a.select(F.col("source_file").alias("source_key"), "doc_id", F.substring("abstract", 1, 100).alias("anchor_text")).distinct()
 
@@ -245,30 +253,42 @@ def e01_locate_exact(spark, d):
     return f.select("doc_id", "anchor_text", F.when(exact, F.col("page")).alias("page"), F.when(exact, F.col("bidx")).alias("bidx"))
 
 
+_ENTRY_A = f"(SELECT *, {norm('anchor_text')} AS needle FROM (SELECT DISTINCT m.source_key, e.doc_id, e.evidence.anchor_text AS anchor_text FROM entry e LEFT JOIN (SELECT doc_id, min(source_file) AS source_key FROM metadata GROUP BY doc_id) m ON e.doc_id = m.doc_id WHERE e.evidence.anchor_text IS NOT NULL))"
+
+
+@query("e01_locate_entries", _LOCATE.replace(_A, _ENTRY_A))
+def e01_locate_entries(spark, d):
+    """The anchors of all entries; the same of two entries of a paper once."""
+    f = E.locate(_entry_anchors(spark, d).select("source_key", "doc_id", "anchor_text").distinct(), G.structure(_docs(spark, d).drop("doc_id").repartition("source_key")))
+    exact = F.col("match_method") == "exact"
+    return f.select("doc_id", "anchor_text", F.when(exact, F.col("page")).alias("page"), F.when(exact, F.col("bidx")).alias("bidx"))
+
+
 @query("e02_unique_fragment")
 def e02_unique_fragment(spark, d):
-    """Anchors with a wrong start, which only a fragment can locate."""
-    a = table(spark, d, "metadata").where(F.length("abstract") >= 200).select(F.col("source_file").alias("source_key"), "doc_id", F.concat(F.lit("@@@@ "), F.substring("abstract", 1, 190)).alias("anchor_text")).distinct()
-    return E.locate(a, G.structure(_docs(spark, d).drop("doc_id").repartition("source_key"))).select("doc_id", "anchor_text", "match_method", "page", "bidx")
+    """The anchors of all entries, and abstracts with a wrong start, which only a fragment can locate (without entry_id)."""
+    built = table(spark, d, "metadata").where(F.length("abstract") >= 200).select(F.col("source_file").alias("source_key"), "doc_id", F.concat(F.lit("@@@@ "), F.substring("abstract", 1, 190)).alias("anchor_text")).distinct()
+    a = _entry_anchors(spark, d).drop("type").unionByName(built, allowMissingColumns=True)
+    return E.locate(a, G.structure(_docs(spark, d).drop("doc_id").repartition("source_key"))).select("doc_id", "entry_id", "anchor_text", "match_method", "page", "bidx")
 
 
 def _expanded(spark: SparkSession, d: str) -> DataFrame:
-    return E.locate_and_expand(_anchors(spark, d), _docs(spark, d).drop("doc_id"))
+    return E.locate_and_expand(_entry_anchors(spark, d), _docs(spark, d).drop("doc_id"))
 
 
 @query("e05_expand")
 def e05_expand(spark, d):
-    return _expanded(spark, d).select("doc_id", "anchor_text", "match_method", "page", "source_kind", "original_text")
+    return _expanded(spark, d).select("doc_id", "entry_id", "anchor_text", "match_method", "page", "source_kind", "original_text")
 
 
 @query("e06_audit")
 def e06_audit(spark, d):
-    return E.audit(_expanded(spark, d), ["doc_id"])
+    return E.audit(_expanded(spark, d), ["doc_id", "entry_id", "type"])
 
 
 @query("a08_anchor_audit")
 def a08_anchor_audit(spark, d):
-    return E.audit_summary(materialise(E.audit(_expanded(spark, d), ["doc_id"]), "audit"))
+    return E.audit_summary(materialise(E.audit(_expanded(spark, d), ["doc_id", "entry_id", "type"]), "audit"))
 
 
 @query("q03_group_prompts")
