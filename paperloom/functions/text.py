@@ -42,11 +42,11 @@ def drop_pictures(x: Column | str) -> Column:
 
 #: T-2, fixed values: headings from which on a text is back matter, in the order in which they are tried.
 BACK_MATTER = (
-    r"(?i)\n#{1,2}\s+\*?\*?\s*(?:References?|Bibliography|参考文献|引用文献)\s*\*?\*?\s*\n",
-    r"(?i)\n\*?\*?\s*(?:References?|Bibliography|参考文献)\s*\*?\*?\s*\n",
-    r"(?i)\n#{1,2}\s+\*?\*?\s*(?:Acknowledg(?:e?)ments?|Author\s+Contributions?|Supplementary|Appendices|Data\s+Availability)\s*\*?\*?\s*\n",
+    r"(?iU)\n#{1,2}[\s\x1c-\x1f]+\*?\*?[\s\x1c-\x1f]*(?:References?|Bibliography|参考文献|引用文献)[\s\x1c-\x1f]*\*?\*?[\s\x1c-\x1f]*\n",
+    r"(?iU)\n\*?\*?[\s\x1c-\x1f]*(?:References?|Bibliography|参考文献)[\s\x1c-\x1f]*\*?\*?[\s\x1c-\x1f]*\n",
+    r"(?iU)\n#{1,2}[\s\x1c-\x1f]+\*?\*?[\s\x1c-\x1f]*(?:Acknowledg(?:e?)ments?|Author[\s\x1c-\x1f]+Contributions?|Supplementary|Appendices|Data[\s\x1c-\x1f]+Availability)[\s\x1c-\x1f]*\*?\*?[\s\x1c-\x1f]*\n",
 )
-_NUMBERED = r"(?m)(?d)^\s*[-–••*\[]\s*\[?\d{1,4}\]?\s"
+_NUMBERED = r"(?m)(?d)(?U)^[\s\x1c-\x1f]*[-–••*\[][\s\x1c-\x1f]*\[?\d{1,4}\]?[\s\x1c-\x1f]"
 
 
 def truncate_back_matter(x: Column | str) -> Column:
@@ -70,7 +70,7 @@ def fix_abstract_order(x: Column | str) -> Column:
     """T-3: an abstract whose first paragraph continues a sentence gets that paragraph last; paragraphs that start in lower case
     join the one before."""
     x = c(x)
-    pattern = r"(?is)\A(.*?)(##\s+\*?\*?Abstract\*?\*?\s*\n)(.*?)(\n##.*|\z)"
+    pattern = r"(?isU)\A(.*?)(##[\s\x1c-\x1f]+\*?\*?Abstract\*?\*?[\s\x1c-\x1f]*\n)(.*?)(\n##.*|\z)"
     part = lambda i: F.regexp_extract(x, pattern, i)
     paragraphs = F.filter(F.transform(F.split(strip(part(3)), "\n\n"), strip), lambda p: p != "")
     low = lambda p: p.rlike(r"^\p{Ll}")

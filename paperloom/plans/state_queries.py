@@ -319,7 +319,8 @@ def s03_zip_members(spark, d):
 
 @query("s10_converted", "SELECT source_key, length(text) + 17 AS char_count FROM documents WHERE text IS NOT NULL AND NOT contains(text, chr(12)) AND NOT regexp_matches(text, '(?i)\\n(?:#{1,2}\\s+)?\\*?\\*?\\s*(?:References?|Bibliography|参考文献|引用文献|Acknowledg(?:e?)ments?|Author\\s+Contributions?|Supplementary|Appendices|Data\\s+Availability)\\s*\\*?\\*?\\s*\\n|(?m)^\\s*[-–••*\\[]\\s*\\[?\\d{1,4}\\]?\\s|##\\s+\\*?\\*?Abstract')")
 def s10_converted(spark, d):
-    """The texts as files of one page through the converter; those without back matter, lists or abstract come out as they are."""
+    """The texts as files of one page through the converter; those without back matter, lists or abstract come out as they are. The identity
+    case of s10_converted_all, kept for its SQL."""
     from paperloom.functions.text import BACK_MATTER, _NUMBERED
     from paperloom.sources import documents
 
@@ -327,3 +328,12 @@ def s10_converted(spark, d):
     for p in (*BACK_MATTER, _NUMBERED, r"(?i)##\s+\*?\*?Abstract", "\f"):
         docs = docs.where(~F.col("text").rlike(p))
     return documents.convert(docs).select("source_key", "char_count")
+
+
+@query("s10_converted_all")
+def s10_converted_all(spark, d):
+    """All texts as files through the converter: pages split, back matter cut, abstracts put in order. No SQL: the tests compare it with Python."""
+    from paperloom.sources import documents
+
+    docs = table(spark, d, "documents").where("text IS NOT NULL").select("source_key", F.col("text").cast("binary").alias("content"))
+    return documents.convert(docs).select("source_key", "char_count", "converted_text_sha256_96")
