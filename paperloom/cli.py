@@ -1,14 +1,17 @@
-"""Command line: ``python -m paperloom.cli prepare|convert|status|inspect|reset …``."""
+"""Command line: ``python -m paperloom.cli prepare|convert|preprocess|extract|status|inspect|reset …``."""
 
 from __future__ import annotations
 
 import argparse
 import datetime
+import json
 import sys
+import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paperloom.operators import prompts as P
 from paperloom.operators import state as S
 from paperloom.plans import pipeline
 from paperloom.sources import archives, documents, snapshots
@@ -18,7 +21,7 @@ from paperloom.tables import ship
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="paperloom")
     sub = p.add_subparsers(dest="command", required=True)
-    for name in ("prepare", "convert", "status", "inspect", "reset"):
+    for name in ("prepare", "convert", "preprocess", "extract", "status", "inspect", "reset"):
         s = sub.add_parser(name)
         s.add_argument("--root", required=True, help="folder of the corpus: archives, members, papers, state")
         s.add_argument("--paper", action="append", default=[], help="only this source key; may be repeated")
@@ -29,12 +32,50 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument("--archive", action="append", default=None)
         if name == "convert":
             s.add_argument("--min-chars", type=int, default=documents.Settings.load().min_md_chars)
+        if name in ("preprocess", "extract"):
+            s.add_argument("--replies", help="JSON file of recorded replies, for runs without a client")
     return p
 
 
-def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
+def run_stage(a: argparse.Namespace, spark: SparkSession, state: DataFrame, only: Column, now: str, now_s: float, client: P.Client) -> int:
+    """``preprocess`` and ``extract``: the claim is written before the model is asked, the state after what was made."""
+    state_path, conf = f"{a.root}/state", documents.Settings.load()
+    if a.force:
+        snapshots.archive_run(spark, state_path, now.replace("/", "-"))
+        state = S.reset_stage(state, a.command, only, now)
+    claimed = pipeline.claim(state, a.command, now_s, now, only)
+    snapshots.replace(claimed, state_path)
+    papers = spark.read.parquet(f"{a.root}/papers")
+    meta, entries = (snapshots.read_or_none(spark, f"{a.root}/{n}") for n in ("metadata", "entries"))
+    if a.command == "preprocess":
+        new, made = pipeline.preprocess_stage(claimed, papers, client, now, now_s, conf.metadata_head_chars)
+        rest = None if meta is None else meta.join(made.select("source_key"), "source_key", "left_anti")
+        snapshots.replace(made if rest is None else rest.unionByName(made, allowMissingColumns=True), f"{a.root}/metadata")
+        if entries is not None:  # they rest on the old metadata
+            snapshots.replace(entries.join(made.select("doc_id"), "doc_id", "left_anti"), f"{a.root}/entries")
+    else:
+        names = tuple(filter(None, conf.extract_groups.split(","))) or P.DEFAULT_GROUPS
+        out = pipeline.extract_claimed(claimed, papers, entries, client, now, now_s, names, conf.extract_group_spec, conf.llm_model)
+        new = out["state"]
+        snapshots.replace(out["entries"], f"{a.root}/entries")
+        if meta is not None:
+            old = meta if "extraction_info" in meta.columns else meta.withColumn("extraction_info", F.lit(None).cast(out["info"].schema["extraction_info"].dataType))
+            stamped = old.join(out["info"].withColumnRenamed("extraction_info", "__new"), "source_key", "left")
+            snapshots.replace(stamped.withColumn("extraction_info", F.coalesce("__new", "extraction_info")).drop("__new"), f"{a.root}/metadata")
+    snapshots.replace(new, state_path)
+    status = F.col(f"{a.command}_status")
+    return 1 if snapshots.read_or_none(spark, state_path).where(only & status.isin("failed", "partial")).count() else 0
+
+
+def main(argv: list[str] | None = None, spark: SparkSession | None = None, client: P.Client | None = None) -> int:
     """0: all went well; 1: something failed; 2: a wrong call."""
     a = parser().parse_args(argv)
+    if a.command in ("preprocess", "extract") and client is None:
+        if not a.replies:
+            print("a client or --replies is needed", file=sys.stderr)
+            return 2
+        with open(a.replies, encoding="utf-8") as f:
+            client = P.replay(json.load(f))
     spark = spark or SparkSession.builder.getOrCreate()
     ship(spark)
     now, state_path = datetime.datetime.now().strftime("%m/%d/%Y/%H:%M:%S"), f"{a.root}/state"
@@ -54,6 +95,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         papers.write.mode("append").parquet(f"{a.root}/papers")
         snapshots.replace(new, state_path)
         return 1 if new.where(only & (F.col("convert_status") == "failed")).count() else 0
+    if a.command in ("preprocess", "extract"):
+        return run_stage(a, spark, state, only, now, time.time(), client)
     if a.command == "reset":
         snapshots.replace(S.reset_stage(state, a.stage, only, now) if a.paper else S.reset_failed(state, a.stage, now), state_path)
         return 0
@@ -65,8 +108,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 f(state).show(truncate=False)
         return 0
     papers = spark.read.parquet(f"{a.root}/papers") if snapshots.exists(spark, f"{a.root}/papers") else spark.createDataFrame([], "source_key string, text string")
-    none = spark.createDataFrame([], "doc_id string, evidence struct<page:int>")
-    pipeline.inspect(state.where(only), papers.where(only), none, state.where(only & F.col("doc_id").isNotNull()).select("source_key", "doc_id")).orderBy("source_key").show(truncate=False)
+    entries = snapshots.read_or_none(spark, f"{a.root}/entries")
+    if entries is None:
+        entries = spark.createDataFrame([], "doc_id string, evidence struct<page:int>")
+    pipeline.inspect(state.where(only), papers.where(only), entries, state.where(only & F.col("doc_id").isNotNull()).select("source_key", "doc_id")).orderBy("source_key").show(truncate=False)
     return 0
 
 
