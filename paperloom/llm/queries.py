@@ -209,13 +209,18 @@ def p4_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def p6_source_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How often each source truncates: cut and all values of each field."""
+    """How often each source truncates: cut and all values of each field; of papers also how many have fewer characters than ``papers``
+    counts (``n_short``: a count alone is no proof of a cut)."""
     cut = truncation.find_cut(_cut_fields(spark, sf_dir)).withColumn("cut", F.lit(True))
     meta = table(spark, sf_dir, "metadata").where(F.length("introduction") > 0).select(F.col("doc_id").alias("record_id"), F.lit("introduction").alias("field_name"), F.substring_index("source_file", "/", 1).alias("source"))
     entry = table(spark, sf_dir, "entry").where(F.length("evidence.original_text") > 0).select(F.col("entry_id").alias("record_id"), F.lit("original_text").alias("field_name"), "source")
     docs = table(spark, sf_dir, "documents").where(F.length("text") > 0).select(F.col("source_key").alias("record_id"), F.lit("char_count").alias("field_name"), "source")
     every = meta.unionByName(entry).unionByName(docs).distinct()
-    rates = every.join(cut, ["record_id", "field_name"], "left").groupBy("source", "field_name").agg(F.count("*").alias("n"), F.count("cut").alias("cut"))
+    counted = table(spark, sf_dir, "papers").groupBy(F.col("source_key").alias("record_id")).agg(F.max("char_count").alias("said"))
+    short = table(spark, sf_dir, "documents").select(F.col("source_key").alias("record_id"), F.length("text").alias("has")).join(counted, "record_id").where("said > has")
+    short = short.select("record_id", F.lit("char_count").alias("field_name"), F.lit(True).alias("short")).distinct()
+    keys = ["record_id", "field_name"]
+    rates = every.join(cut, keys, "left").join(short, keys, "left").groupBy("source", "field_name").agg(F.count("*").alias("n"), F.count("cut").alias("cut"), F.count("short").alias("n_short"))
     return rates.withColumn("share", F.round(F.col("cut") / F.col("n"), 4))
 
 
