@@ -10,8 +10,10 @@ size are interchangeable, and no histogram has more rows than the capacity, howe
 3. What no rule can fix is packed best fit, largest sizes first, container groups of equal residual space at a time.
 
 The plan is a short list of intervals: "the items of size s with the ranks lo..hi go to the containers from c on, q in
-each". Ranks are given to the items by a two-level count (block of the id hash, then rank in the block), so that a
-size shared by a third of all documents is no single task.
+each". A set is fixed at once for as many containers as its sizes allow, which uses up one of them, so the number of intervals depends on
+the number of sizes and not on that of the items. Ranks are given to the items by a two-level count (block of the id hash, then rank in
+the block), and an item finds its interval by a join on its size and its run of :data:`RUN` ranks, so that a size shared by a third
+of all documents is no single task and no item looks at more intervals than its run has.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ from pyspark.sql.window import Window
 #: An interval: size, first rank, number of items, first container, items in each container.
 Interval = tuple[int, int, int, int, int]
 
-#: The plan has a few intervals a size, so the capacity bounds it; beyond this number it is joined and not broadcast.
-MAX_BROADCAST_STEPS = 200_000
+#: Ranks that are looked up together.
+RUN = 256
+#: Histogram and plan have a few rows a size, and a capacity has as many sizes; a greater one is an error.
+MAX_CAPACITY = 1 << 22
 
 
 class _Sizes:
@@ -79,17 +83,28 @@ class _Sizes:
         return best
 
 
-def plan(histogram: dict[int, int], capacity: int, reduce: bool = True) -> tuple[list[Interval], dict[str, int]]:
+def plan(histogram: dict[int, int], capacity: int, reduce: bool = True, at_once: bool = True) -> tuple[list[Interval], dict[str, int]]:
     """The intervals for items of 1..capacity tokens, and counts of what the two steps did.
 
-    Containers are numbered from 0. ``histogram`` maps a size to its number of items.
+    Containers are numbered from 0. ``histogram`` maps a size to its number of items. Without ``at_once`` a set is fixed for one container at a
+    time, which takes as many steps as there are containers.
     """
     used: Counter[int] = Counter()
     out: list[Interval] = []
     containers = 0
     stats = {"reduced": 0, "best_fit": 0}
 
+    last: dict[int, int] = {}  # where a size's latest interval stands in ``out``
+
     def put(s: int, k: int, first: int, each: int = 1) -> None:
+        at = last.get(s)
+        if at is not None:
+            _, lo, n, c, q = out[at]
+            if q == each and n % q == 0 and c + n // q == first:  # goes on where that one ends
+                out[at] = (s, lo, n + k, c, q)
+                used[s] += k
+                return
+        last[s] = len(out)
         out.append((s, used[s], k, first, each))
         used[s] += k
 
@@ -138,8 +153,9 @@ def plan(histogram: dict[int, int], capacity: int, reduce: bool = True) -> tuple
             continue
         need = Counter(chosen)
         times = min(items.n[s] // q for s, q in need.items())
-        if k >= 2 and len(chosen) == 3:
-            times = 1 if times else 0  # the pair rule looks at particular items; it is asked again each time
+        times = times if at_once else min(times, 1)
+        # taking a set away leaves only larger rests than before among the other items, so the rule that chose it holds until one of its
+        # sizes is used up
         if not times:
             left[j] = many
             items.take(j, many)
@@ -196,10 +212,10 @@ def pack(items: DataFrame, specs: DataFrame, id_col: str = "doc_id", size_col: s
 
     Defined cases: an item of size 0, null or below takes no space and lies in the reserved container 0; a repeated row of one id
     counts once; two rows of one id with different sizes count as the larger one; a null id is an id like others; a null
-    capacity or one below 1 gives no rows; empty tables give an empty result; other columns are ignored.
+    capacity or one below 1 gives no rows, one above :data:`MAX_CAPACITY` is an error; empty tables give an empty result; other columns are ignored.
 
-    The histogram that reaches the driver has at most ``capacity`` rows a spec, however large the data. Items are ranked within (size, block of the id hash) and blocks are added up, without a window over
-    a whole size.
+    The histogram that reaches the driver has at most ``capacity`` rows a spec (:data:`MAX_CAPACITY`), however large the data. Items are
+    ranked within (size, block of the id hash) and blocks are added up, without a window over a whole size.
     """
     spark = items.sparkSession
     from paperloom.tables import materialise
@@ -207,11 +223,13 @@ def pack(items: DataFrame, specs: DataFrame, id_col: str = "doc_id", size_col: s
     items = items.groupBy(F.col(id_col).alias("__id")).agg(F.greatest(F.coalesce(F.max(F.col(size_col).cast("long")), F.lit(0)), F.lit(0)).alias("__size"))
     items = materialise(items.withColumn("__block", F.pmod(F.xxhash64("__id"), F.lit(blocks)).cast("int")), "sizes")
     wanted = [(r[0], int(r[1])) for r in specs.select("spec_id", "capacity").distinct().collect() if r[1] is not None and r[1] >= 1]
+    if any(c > MAX_CAPACITY for _, c in wanted):
+        raise ValueError(f"a capacity exceeds {MAX_CAPACITY}")
     spec_type = specs.schema["spec_id"].dataType
     wanted_df = spark.createDataFrame(wanted, T.StructType([T.StructField("spec_id", spec_type), T.StructField("__cap", T.LongType())]))
 
     # one row a part; only the rest of an item needs a place
-    parts = items.crossJoin(F.broadcast(wanted_df)).select("spec_id", "__cap", "__id", "__block", "__size", (F.col("__size") % F.col("__cap")).alias("__rest"), F.floor(F.col("__size") / F.col("__cap")).alias("__full"))
+    parts = items.crossJoin(wanted_df).select("spec_id", "__cap", "__id", "__block", "__size", (F.col("__size") % F.col("__cap")).alias("__rest"), F.floor(F.col("__size") / F.col("__cap")).alias("__full"))
     counts = parts.groupBy("spec_id", "__cap", "__rest", "__block").agg(F.count("*").alias("n"), F.sum("__full").alias("full"))
     by_block = Window.partitionBy("spec_id", "__rest").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select(
@@ -231,31 +249,25 @@ def pack(items: DataFrame, specs: DataFrame, id_col: str = "doc_id", size_col: s
             h[r["__rest"]] = r["n"]
         bases[(r["spec_id"], r["__rest"])] = fulls[key]
         fulls[key] += r["full"]
-    intervals, n_steps = [], 0
-    for (spec, cap), h in histograms.items():
-        by_size: dict[int, list] = {}
-        for s, lo, k, first, each in plan(h, cap)[0]:
-            by_size.setdefault(s, []).append((lo, lo + k, first + fulls[(spec, cap)], each))
-            n_steps += 1
-        intervals += [(spec, s, base, by_size.get(s, [])) for (sp, s), base in bases.items() if sp == spec]
-
-    step = T.StructType([T.StructField(n, T.LongType()) for n in ("lo", "hi", "first", "each")])
-    steps = spark.createDataFrame(
-        intervals,
-        T.StructType([T.StructField("spec_id", spec_type), T.StructField("__rest", T.LongType()), T.StructField("__base", T.LongType()), T.StructField("__steps", T.ArrayType(step))]),
-    )
-    if n_steps <= MAX_BROADCAST_STEPS:
-        steps = F.broadcast(steps)
+    intervals = [(spec, s, lo, lo + k, first + fulls[(spec, cap)], each) for (spec, cap), h in histograms.items() for s, lo, k, first, each in plan(h, cap)[0]]
+    long_ = lambda *names: [T.StructField(n, T.LongType()) for n in names]
+    key = T.StructField("spec_id", spec_type)
+    steps = spark.createDataFrame(intervals, T.StructType([key, *long_("__rest", "lo", "hi", "first", "each")]))
+    steps = steps.withColumn("__run", F.explode(F.sequence(F.floor(F.col("lo") / RUN), F.floor((F.col("hi") - 1) / RUN))))
+    base = spark.createDataFrame([(*k, b) for k, b in bases.items()], T.StructType([key, *long_("__rest", "__base")]))
 
     order = Window.partitionBy("spec_id", "__rest", "__block").orderBy("__id")
     ranked = (
         parts.withColumn("__in_block", F.row_number().over(order) - 1)
         .withColumn("__full_in_block", F.sum("__full").over(order.rowsBetween(Window.unboundedPreceding, -1)))
-        .join(before, ["spec_id", "__rest", "__block"])
-        .join(steps, ["spec_id", "__rest"])
+        .join(before.join(base, ["spec_id", "__rest"]), ["spec_id", "__rest", "__block"])
         .withColumn("__rank", F.col("__in_block") + F.col("__before"))
+        .withColumn("__run", F.floor(F.col("__rank") / RUN))
     )
-    mine = F.element_at(F.filter("__steps", lambda s: (s["lo"] <= F.col("__rank")) & (F.col("__rank") < s["hi"])), 1)
+    # an item that fills its containers has no rest and no interval
+    on = [ranked[c] == steps[c] for c in ("spec_id", "__rest", "__run")]
+    ranked = ranked.join(steps, [*on, ranked["__rank"] >= steps["lo"], ranked["__rank"] < steps["hi"]], "left").drop(steps["spec_id"], steps["__rest"], steps["__run"])
+    mine = {n: F.col(n) for n in ("lo", "first", "each")}
     rest_row = F.struct(
         F.when(F.col("__rest") == 0, F.lit(0)).otherwise(mine["first"] + F.floor((F.col("__rank") - mine["lo"]) / mine["each"]) + 1).cast("long").alias("container_id"),
         F.when(F.col("__full") > 0, F.col("__full") + 1).otherwise(F.lit(0)).cast("int").alias("part_no"),

@@ -124,3 +124,37 @@ def test_pack_cases(spark):
     assert len(load) == 7  # 68 tokens need as many
     assert packing.pack(items.limit(0), specs).count() == 0
     assert packing.pack(items, specs.limit(0)).count() == 0
+
+
+def test_number_of_intervals_does_not_grow_with_the_items():
+    few = packing.plan({60: 10, 21: 10, 19: 10}, 100)
+    many = packing.plan({60: 10**6, 21: 10**6, 19: 10**6}, 100)
+    assert len(many[0]) == len(few[0]) <= 3 and many[1]["containers"] == 10**6
+    rng = random.Random(9)
+    h = {rng.randint(1, 2048): rng.randint(1, 20) for _ in range(700)}
+    a, b = packing.plan(h, 2048), packing.plan({s: 1000 * n for s, n in h.items()}, 2048)
+    assert len(b[0]) <= 2 * len(a[0]) and len(b[0]) < 12 * len(h)
+
+
+def test_sets_fixed_at_once_or_one_by_one():
+    """As many containers when every set is fixed for one container at a time."""
+    rng = random.Random(6)
+    for _ in range(150):
+        cap = rng.choice((20, 50, 100))
+        h = {s: rng.randint(1, 6) for s in rng.sample(range(1, cap + 1), rng.randint(1, 12))}
+        together = _check_plan(h, cap, True)
+        assert together == packing.plan(h, cap, at_once=False)[1]
+        assert together["containers"] <= packing.plan(h, cap, reduce=False)[1]["containers"] + 1
+
+
+def test_one_size_of_many_items_and_intervals(spark):
+    """A size spread over many intervals: no container is overfull and every item has one place."""
+    from pyspark.sql import functions as F
+
+    sizes = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, 3).otherwise(20 + F.col("id") % 77).alias("n_tokens"))
+    specs = spark.createDataFrame([("a", 100)], "spec_id string, capacity int")
+    out = packing.pack(sizes, specs, id_col="id")
+    assert out.count() == 6000 and out.select("id").distinct().count() == 6000
+    assert out.groupBy("container_id").agg(F.sum("n_tokens").alias("s")).agg(F.max("s")).first()[0] <= 100
+    with pytest.raises(ValueError):
+        packing.pack(sizes, spark.createDataFrame([("a", 1 << 30)], "spec_id string, capacity int"), id_col="id")
