@@ -26,42 +26,45 @@ TRAINING = 2000
 
 LANGS = ("html", "markdown", "wiki", "latex")
 
-#: The forms of nodes: name, language, pattern, whether the content is opaque (code, formula, comment).
+#: The forms of nodes: name, language, pattern, whether the content is opaque (code, formula, comment). No form has a greatest length: what
+#: it encloses ends at its closing sign, at a sign that opens it anew or at the line's or paragraph's end, so every text is read in
+#: bounded time.
 FORMS = (
-    ("comment", "html", r"<!--(?!\s*PAGE \d+\s*-->).*?-->", True),
-    ("pre", "html", r"<(?P<pretag>pre|code|script|style|math)\b[^<>]*>.*?</(?P=pretag)>", True),
-    ("tag", "html", r"</?[A-Za-z][A-Za-z0-9:-]{0,20}(?:\s+[^<>\n]{0,200})?/?>", False),
-    ("escaped_tag", "html", r"&lt;/?[A-Za-z][A-Za-z0-9]{0,12}(?:\s[^&\n]{0,80})?/?&gt;", False),
-    ("entity", "html", r"&(?:[A-Za-z]{2,8}\d{0,2}|#\d{2,6}|#[xX][0-9A-Fa-f]{2,6});", False),
+    ("comment", "html", r"<!--(?!\s*PAGE \d+\s*-->)(?:(?!<!--).)*?-->", True),
+    ("pre", "html", r"<(?P<pretag>pre|code|script|style|math)\b[^<>]*>(?:(?!<(?P=pretag)\b).)*?</(?P=pretag)>", True),
+    ("tag", "html", r"</?[A-Za-z][A-Za-z0-9:-]*(?:\s+[^<>\n]*)?/?>", False),
+    ("escaped_tag", "html", r"&lt;/?[A-Za-z][A-Za-z0-9]*(?:\s[^&\n]*)?/?&gt;", False),
+    ("entity", "html", r"&(?:[A-Za-z]{2,31}\d{0,2}|#\d{2,7}|#[xX][0-9A-Fa-f]{2,6});", False),
     ("fence", "markdown", r"(?m:^[ \t]*)```.*?(?:```|\Z)", True),
     ("l_verbatim", "latex", r"\\begin\{(?P<env>verbatim|equation|align|lstlisting|math|displaymath|eqnarray|gather)(?P<star>\*?)\}.*?(?:\\end\{(?P=env)(?P=star)\}|\Z)", True),
-    ("l_display", "latex", r"\\\[.{1,400}?\\\]|\\\(.{1,400}?\\\)|\$\$[^$]{1,400}\$\$", True),
-    ("l_math", "latex", r"\$[^$\n]{1,200}\$", True),
-    ("l_env", "latex", r"\\(?:begin|end)\{[a-zA-Z]+\*?\}(?:\[[^\]\n]{0,40}\])?", False),
-    ("l_cite", "latex", r"~?\\(?:cite|ref|label|eqref|citep|citet|autoref|pageref)\w*(?:\[[^\]\n]{0,60}\])?\{[^{}\n]{0,120}\}", False),
-    ("l_cmd", "latex", r"\\[a-zA-Z]{2,20}\*?(?:\[[^\]\n]{0,60}\])?(?:\{[^{}\n]{0,200}\})?", False),
-    ("l_group", "latex", r"\{\\[a-z]{2,12}\s[^{}\n]{0,200}\}", False),
-    ("l_quote", "latex", r"``[^`'\n]{1,120}''", False),
+    ("l_table", "latex", r"\\begin\{(?P<tab>tabularx?|longtable|array)(?P<tabstar>\*?)\}.*?(?:\\end\{(?P=tab)(?P=tabstar)\}|\Z)", False),
+    ("l_display", "latex", r"\\\[(?:(?!\\\[|\n\s*\n).)+?\\\]|\\\((?:(?!\\\(|\n\s*\n).)+?\\\)|\$\$[^$]+\$\$", True),
+    ("l_math", "latex", r"\$[^$\n]+\$", True),
+    ("l_env", "latex", r"\\(?:begin|end)\{[a-zA-Z]+\*?\}(?:\[[^\]\n]*\])?", False),
+    ("l_cite", "latex", r"~?\\(?:cite|ref|label|eqref|citep|citet|autoref|pageref)\w*(?:\[[^\]\n]*\])?\{[^{}\n]*\}", False),
+    ("l_cmd", "latex", r"\\[a-zA-Z]{2,}\*?(?:\[[^\]\n]*\])?(?:\{[^{}\n]*\})?", False),
+    ("l_group", "latex", r"\{\\[a-z]{2,}\s[^{}\n]*\}", False),
+    ("l_quote", "latex", r"``[^`'\n]+''", False),
     ("l_break", "latex", r"\\\\(?=\s|$)", False),
     ("l_escape", "latex", r"\\[%&$#_]", False),
     ("w_table", "wiki", r"\{\|.*?(?:\|\}|\Z)", False),
-    ("w_template", "wiki", r"\{\{[^{}]{1,200}\}\}", False),
-    ("w_link", "wiki", r"\[\[[^\[\]\n]{1,200}\]\]", False),
-    ("w_extlink", "wiki", r"\[https?://[^\s\]]+(?:\s[^\]\n]{0,160})?\]", False),
-    ("w_head", "wiki", r"(?m:^)[ \t]*(?P<eq>={2,6})[ \t]*[^=\n]{1,120}?[ \t]*(?P=eq)[ \t]*(?m:$)", False),
-    ("w_quote", "wiki", r"'{2,5}[^'\n]{1,160}'{2,5}", False),
+    ("w_template", "wiki", r"\{\{[^{}]+\}\}", False),
+    ("w_link", "wiki", r"\[\[[^\[\]\n]+\]\]", False),
+    ("w_extlink", "wiki", r"\[https?://[^\s\]]+(?:\s[^\]\n]*)?\]", False),
+    ("w_head", "wiki", r"(?m:^)[ \t]*(?P<eq>={2,6})[ \t]*[^=\n]+?[ \t]*(?P=eq)[ \t]*(?m:$)", False),
+    ("w_quote", "wiki", r"'{2,5}[^'\n]+'{2,5}", False),
     ("w_switch", "wiki", r"__(?:NOTOC|TOC|NOEDITSECTION|FORCETOC|NOGALLERY|NOINDEX)__", False),
-    ("w_indent", "wiki", r"(?m:^):{1,4}(?=\S)", False),
-    ("m_image", "markdown", r"!\[[^\[\]\n]{0,160}\]\([^()\s]{1,200}\)", False),
-    ("m_link", "markdown", r"\[[^\[\]\n]{1,160}\]\([^()\s]{1,200}\)", False),
-    ("m_footnote", "markdown", r"\[\^[\w-]{1,12}\]:?", False),
-    ("m_head", "markdown", r"(?m:^)[ \t]*#{1,6}[ \t]+[^\n]{1,160}", False),
+    ("w_indent", "wiki", r"(?m:^):+(?=[^\s:])", False),
+    ("m_image", "markdown", r"!\[[^\[\]\n]*\]\([^()\s]+\)", False),
+    ("m_link", "markdown", r"\[[^\[\]\n]+\]\([^()\s]+\)", False),
+    ("m_footnote", "markdown", r"\[\^[\w-]+\]:?", False),
+    ("m_head", "markdown", r"(?m:^)[ \t]*#{1,6}[ \t]+[^\n]+", False),
     ("m_table", "markdown", r"(?m:^)[ \t]*\|[^\n]*\|[ \t]*\n[ \t]*\|[ :|-]*-[ :|-]*\|[ \t]*(?:\n[ \t]*\|[^\n]*\|[ \t]*)*", False),
-    ("m_code", "markdown", r"`[^`\n]{1,160}`", True),
-    ("m_strike", "markdown", r"~~[^~\n]{1,160}~~", False),
-    ("m_strong", "markdown", r"\*{2,3}[^*\n]{1,200}\*{2,3}", False),
-    ("m_under", "markdown", r"__[^_\n]{1,160}__", False),
-    ("m_em", "markdown", r"(?<![\w*])\*(?=[^\s*])[^*\n]{1,120}(?<=[^\s*])\*(?![\w*])|(?<![\w_])_(?=[^\s_])[^_\n]{1,120}(?<=[^\s_])_(?![\w_])", False),
+    ("m_code", "markdown", r"`[^`\n]+`", True),
+    ("m_strike", "markdown", r"~~[^~\n]+~~", False),
+    ("m_strong", "markdown", r"\*{2,3}[^*\n]+\*{2,3}", False),
+    ("m_under", "markdown", r"__[^_\n]+__", False),
+    ("m_em", "markdown", r"(?<![\w*])\*(?=[^\s*])[^*\n]+(?<=[^\s*])\*(?![\w*])|(?<![\w_])_(?=[^\s_])[^_\n]+(?<=[^\s_])_(?![\w_])", False),
     ("star_item", "markdown", r"(?m:^)[ \t]*\*[ \t]+(?=\S)", False),
     ("m_item", "markdown", r"(?m:^)[ \t]*[-+][ \t]+(?=\S)(?!\d+ ?[-—–])", False),
     ("m_number", "markdown", r"(?m:^)[ \t]*\d{1,2}\.[ \t]+(?=\S)", False),
@@ -74,7 +77,7 @@ _OPAQUE = {name for name, _, _, o in FORMS if o}
 _MASTER = re.compile("|".join(f"(?P<{name}>{pattern})" for name, _, pattern, _ in FORMS), re.S)
 #: Where a piece may begin; each branch starts with one sign, so that a search skips plain text quickly.
 _SIGN = re.compile(
-    r"<(?=[A-Za-z/!])|&(?=#?\w{2,8};|[a-z]{2};)|\\(?=[A-Za-z\[(\\%&$#_])|`|~(?=[~\\])|\*(?=[^\s])|_(?=\w)|!(?=\[)|\[(?=[\[^h]|[^\[\]\n]{1,160}\]\()|\{(?=[\\{|])|\$(?=[^\n]{1,400}\$)|'(?=')|\n(?=[ \t]*(?:[#>:+*=|-]|\d{1,2}\.\s|```))"
+    r"<(?=[A-Za-z/!])|&(?=#?\w{2,33};|[a-z]{2};)|\\(?=[A-Za-z\[(\\%&$#_])|`|~(?=[~\\])|\*(?=[^\s])|_(?=\w)|!(?=\[)|\[(?=[\[^h]|[^\[\]\n]+\]\()|\{(?=[\\{|])|\$(?=\$|[^$\n]+\$)|'(?=')|\n(?=[ \t]*(?:[#>:+*=|-]|\d{1,2}\.\s|```))"
 )
 _LINE = re.compile(r"[ \t]*(?:[#>:+*=|-]|\d{1,2}\.\s|```)")
 
@@ -98,7 +101,8 @@ class Node:
         self.on = False
 
 
-def _scan(text: str, base: int, out: list[Node], level: int = 0) -> None:
+def _scan(text: str, base: int, out: list[Node], inner: list[tuple[str, int]]) -> None:
+    """Add the nodes of a stretch of text that starts at ``base``, and to ``inner`` the stretches that they enclose."""
     at, n = 0, len(text)
     first = _LINE.match(text) is not None
     while at < n:
@@ -121,18 +125,20 @@ def _scan(text: str, base: int, out: list[Node], level: int = 0) -> None:
         piece = m.group()
         out.append(Node(kind, base + s, base + e, piece))
         # what a piece encloses is read too, also inside opaque ones: decoding decides
-        if level < 4 and e - s > 4 and kind not in ("tag", "entity", "escaped_tag", "comment"):
+        if e - s > 4 and kind not in ("tag", "entity", "escaped_tag", "comment"):
             lead = 1
             while lead < len(piece) and piece[lead] == piece[0]:
                 lead += 1
             if lead < len(piece) - 1:
-                _scan(piece[lead:], base + s + lead, out, level + 1)
+                inner.append((piece[lead:], base + s + lead))
 
 
 def parse(text: str) -> list[Node]:
     """The nodes of a text in order, linked to a tree by enclosure; paired HTML tags enclose what lies between them."""
     nodes: list[Node] = []
-    _scan(text, 0, nodes)
+    inner = [(text, 0)]
+    while inner:
+        _scan(*inner.pop(), nodes, inner)
     if not nodes:
         return nodes
     spans: list[tuple[int, int, Node]] = []
@@ -263,7 +269,10 @@ def _inject(rng: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
     i = 0
     tok = lambda: "".join(rng.choice("bcdfghkmnprstvwz") for _ in range(6))
     num = lambda: str(rng.randrange(2, 99))
-    math = lambda: rng.choice((r"x_i = \sqrt{n}", r"\alpha = e^{-kt}", r"a = \frac{a}{b}", r"y = \mathbf{W}x", r"\beta_k = \sum_{i=1}^{n} w_i", "E=mc^2", "n+1", r"\lambda", "x^2", "k"))
+    url = lambda: "/".join(tok() for _ in range(rng.choice((1, 1, 2, 30, 60))))
+    short_math = lambda: rng.choice((r"x_i = \sqrt{n}", r"\alpha = e^{-kt}", r"a = \frac{a}{b}", r"y = \mathbf{W}x", r"\beta_k = \sum_{i=1}^{n} w_i", "E=mc^2", "n+1", r"\lambda", "x^2", "k"))
+    math = lambda: " + ".join(short_math() for _ in range(rng.choice((1, 1, 1, 1, 2, 3, 6, 14))))
+    span = lambda: glue.join(rng.choice(words) for _ in range(rng.choice((20, 40, 70)))) if rng.random() < 0.08 else w
     code = lambda: rng.choice((f"n <- {num()}\nm <- n * 2", f"load rows\nsort by key\ntake {num()}", "fit = run(x, k=30)\nprint(fit.loss)", "for i in range(3):\n    print(i)", "a_b = x[0] * y[1]", "#include <x>\nint a = b & c;"))
     while i < len(words):
         k = rng.randrange(1, 4)
@@ -276,7 +285,7 @@ def _inject(rng: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
                 w = num()
             if lang == "html":
                 tag = rng.choice(("i", "b", "em", "strong", "sub", "sup", "span", "a", "p", "FONT", "u", "div", "jats:p", "h3", "td", "li", "small", "tt"))
-                attr = rng.choice(("", "", "", f' class="{tok()}"', f' href="https://{tok()}.org/x"', " size=2", f' id="{tok()}" style="x:y"'))
+                attr = rng.choice(("", "", "", f' class="{tok()}"', f' href="https://{url()}.org/x"', " size=2", f' id="{tok()}" style="x:y"'))
                 parts.append(
                     (
                         rng.choice(
@@ -293,7 +302,7 @@ def _inject(rng: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
                     (
                         rng.choice(
                             (
-                                f"**{w}**", f"*{w}*", f"***{w}***", f"__{w}__", f"_{w}_", f"`{w}`", f"~~{w}~~", f"[{w}](https://{tok()}.org/{num()})", f"![{w}](img_{num()}.png)", f"{w}[^{num()[0]}]", f"\n## {w}\n\n", f"\n### **{w}**\n", f"\n```python\n{code()}\n```\n",
+                                f"**{span()}**", f"*{span()}*", f"***{w}***", f"__{span()}__", f"_{w}_", f"`{w}`", f"~~{w}~~", f"[{w}](https://{url()}.org/{num()})", f"![{w}](img_{num()}.png)", f"{w}[^{num()[0]}]", f"\n## {w}\n\n", f"\n### **{w}**\n", f"\n```python\n{code()}\n```\n",
                                 f"\n| k | v |\n|---|---|\n| a | {num()} |\n", f"\n- {w}\n- {w}\n", f"\n+ {w}\n+ {w}\n", f"\n* {w}\n* {w}\n", f"\n1. {w}\n2. {w}\n", f"\n> {w}\n", f"\n# {w}\n", f"\n{w}\n-----\n", f"\n{w}\n=====\n",
                             )
                         ),
@@ -305,7 +314,7 @@ def _inject(rng: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
                     (
                         rng.choice(
                             (
-                                f"[[{w}]]", f"[[{tok().title()}|{w}]]", f"''{w}''", f"'''{w}'''", f"\n== {w} ==\n", f"\n=== {w} ===\n* {w}\n* {w}\n", "{{" + f"cite|{tok()}|2001" + "}} " + w, "\n{{box|" + w + "}}\n", f"[https://{tok()}.org {w}]", f"\n[[File:{tok()}.png|thumb|{w}]]\n",
+                                f"[[{w}]]", f"[[{tok().title()}|{w}]]", f"''{span()}''", f"'''{span()}'''", f"\n== {w} ==\n", f"\n=== {w} ===\n* {w}\n* {w}\n", "{{" + f"cite|{tok()}|2001" + "}} " + w, "\n{{box|" + w + "}}\n", f"[https://{tok()}.org {w}]", f"\n[[File:{tok()}.png|thumb|{w}]]\n",
                                 '\n{| class="wikitable"\n! k !! v\n|-\n| a || ' + num() + "\n|}\n", f"\n__NOTOC__\n:{w}\n", "'''''" + w + "'''''",
                             )
                         ),
@@ -318,8 +327,8 @@ def _inject(rng: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
                     (
                         rng.choice(
                             (
-                                f"\\{cmd}{{{w}}}", f"{w}~\\cite{{{tok()}2001}}", f"(Fig.~\\ref{{fig:{tok()}}}) {w}", f"${math()}$ {w}", f" ${math()}${w}", f"\\({math()}\\) {w}", f"\\[ {math()} \\] {w}", f"$${math()}$$ {w}", f"\n\\begin{{equation}}\n{math()}\n\\end{{equation}}\n",
-                                f"\n\\begin{{itemize}}\n\\item {w}\n\\item {w}\n\\end{{itemize}}\n", f"\n\\begin{{verbatim}}\n{code()}\n\\end{{verbatim}}\n", f"{{\\it {w}}}", f"``{w}''", f"{w}.\\\\ ", f"{w} \\%", f"\\section{{{w}}}\n", f"\n\\subsection*{{{w}}}\n", f"{{\\bf {w}}}", f"\\cite{{{tok()}}}", f"{w}\\footnote{{{w}}}",
+                                f"\\{cmd}{{{span()}}}", f"{w}~\\cite{{{tok()}2001}}", f"(Fig.~\\ref{{fig:{tok()}}}) {w}", f"${math()}$ {w}", f" ${math()}${w}", f"\\({math()}\\) {w}", f"\\[ {math()} \\] {w}", f"$${math()}$$ {w}", f"\n\\begin{{equation}}\n{math()}\n\\end{{equation}}\n",
+                                f"\n\\begin{{itemize}}\n\\item {w}\n\\item {w}\n\\end{{itemize}}\n", f"\n\\begin{{tabular}}{{ll}}\n{w} & {num()} \\\\\n{w} & {num()} \\\\\n\\end{{tabular}}\n", f"\n\\begin{{verbatim}}\n{code()}\n\\end{{verbatim}}\n", f"{{\\it {w}}}", f"``{w}''", f"{w}.\\\\ ", f"{w} \\%", f"\\section{{{w}}}\n", f"\n\\subsection*{{{w}}}\n", f"{{\\bf {w}}}", f"\\cite{{{tok()}}}", f"{w}\\footnote{{{w}}}",
                             )
                         ),
                         lang,
@@ -414,8 +423,17 @@ def _plain(n: Node, inner) -> str:
     import html
 
     t, k = n.text, n.kind
-    if k == "comment" or k in ("l_cite", "w_switch", "m_footnote", "escaped_tag"):
+    if k in ("comment", "w_switch", "escaped_tag"):
         return ""
+    if k == "l_cite":
+        keys = t[t.rindex("{") + 1 : -1].strip()
+        return "" if "\\label" in t or not keys else (" [" if t[0] == "~" else "[") + keys + "]"
+    if k == "m_footnote":
+        return "[" + t.strip("[^]:") + "]" + (":" if t.endswith(":") else "")
+    if k == "l_table":
+        body = re.sub(r"^\\begin\{[^}]*\}(?:\[[^\]]*\])?(?:\{[^{}]*\}){0,2}|\\end\{[^}]*\}$|\\(?:hline|toprule|midrule|bottomrule|cline\{[^}]*\})", "", t)
+        rows = [" | ".join(inner(c.strip()) for c in re.split(r"(?<!\\)&", r)) for r in body.split("\\\\") if r.strip()]
+        return "\n" + "\n".join(rows) + "\n"
     if k == "entity":
         return html.unescape(t)
     if k == "pre":
@@ -430,7 +448,7 @@ def _plain(n: Node, inner) -> str:
             return "" if closing else "\n- "
         if name in ("p", "div", "ul", "ol", "table", "tr", "br", "section", "blockquote", "hr"):
             return "\n"
-        return " " if name in ("td", "th") else ""
+        return " | " if name in ("td", "th") and not closing else ""
     if k == "fence":
         return "\n" + t.strip() + "\n"
     if k == "l_verbatim":
@@ -451,6 +469,8 @@ def _plain(n: Node, inner) -> str:
             return "\n- " + (m[2] or "")
         if m[1] in ("section", "subsection", "subsubsection", "paragraph"):
             return "\n" + "#" * (1 + ("section", "subsection", "subsubsection", "paragraph").index(m[1])) + " " + (m[2] or "") + "\n"
+        if m[1] == "footnote" and m[2]:
+            return " (" + inner(m[2]) + ")"
         return inner(m[2]) if m[2] else ""
     if k == "l_group":
         return inner(re.sub(r"^\{\\[a-z]+\s|\}$", "", t))
