@@ -1,8 +1,9 @@
 """Problem 4: noise in texts from scanned pages: divided words, misread letters, running headers, page numbers.
 
 Method. A frequency lexicon of the whole corpus is counted first. Candidates for a misread word come from a symmetric-delete
-index: deletions of the word and of the lexicon's words meet in an equality join. Deletions are made where a sign can take
-part in a confusion, so the index stays small. A candidate is verified by a weighted edit distance that knows the
+index: from the word and from the lexicon's words every sign that can take part in a confusion is deleted, only the class of signs that it
+may be misread for stays in its place, and what is left meets in an equality join. So two words meet however many of their signs were
+misread, whatever their length, and a word has one row in the index. A candidate is verified by a weighted edit distance that knows the
 confusion pairs (every other edit is too dear), must be far more frequent than the word, and where several are left the
 bigram with the word before picks one. For Chinese and Japanese the same is done for single signs in the context of their neighbours.
 A word divided at a line end is a hyphenation unless the lexicon has the hyphenated compound more often than the joined
@@ -28,11 +29,9 @@ ALIKE = ("日曰目", "人入八", "已己巳", "未末", "本木", "用甩", "
 #: A lexicon word is believed against a rarer one from this count and ratio on.
 MIN_COUNT = 5
 RATIO = 8
-#: The words that workers hold to skip what is beyond doubt; the most frequent ones, at most so many.
-HELD = 200_000
+#: Bits of the filters with which workers pass over words that no join can find; a full filter costs rows and no result.
+BITS = 1 << 24
 
-_TRUE = {a for a, _ in SINGLE}
-_FALSE = {b for _, b in SINGLE}
 _PAIRS = {(b, a) for a, b in SINGLE}
 _WORD = re.compile(r"[^\W_]{3,}")
 _COMPOUND = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)+")
@@ -53,26 +52,60 @@ _LATERAL = re.compile(r"^(?P<front>\d{1,4})(?:\s{2,}|\s*[|·]\s*)(?=\D)|(?:\s{2,
 _CODE = re.compile(r"[=<>{}\\|`]|\(\)|^\s*[-+*#>:]")
 
 
-def fold(word: str) -> str:
-    """A word with groups of signs that are misread for one letter put back to the letter."""
+def _classes() -> dict[str, str]:
+    """What stays of each sign that can be misread: the least sign of its class; a sign that is misread as a group leaves the group's."""
+    of: dict[str, set[str]] = {}
+    for a, b in SINGLE:
+        both = of.get(a, {a}) | of.get(b, {b})
+        for c in both:
+            of[c] = both
+    one = {c: min(both) for c, both in of.items()}
+    more: dict[str, str] = {}
     for good, bad in GROUPS:
-        if bad in word:
-            word = word.replace(bad, good)
-    return word
-
-
-def deletions(word: str, signs: set[str]) -> set[str]:
-    """The word without any, one or two of its ``signs``."""
-    at = [i for i, c in enumerate(word) if c in signs][:14]
-    out = {word}
-    for n, i in enumerate(at):
-        one = word[:i] + word[i + 1 :]
-        out.add(one)
-        for j in at[n + 1 :]:
-            out.add(word[:i] + word[i + 1 : j] + word[j + 1 :])
+        letter, group = (good, bad) if len(good) == 1 else (bad, good)
+        more[letter] = "".join(one.get(c, c) for c in group)
+    return one | more
+
+
+_CLASS = _classes()
+_TABLE = str.maketrans(_CLASS)
+
+
+def skeleton(word: str) -> str:
+    """The word without its signs that can be misread, their classes in their place."""
+    return word.translate(_TABLE)
+
+
+def skeleton_of(word):
+    """Column of :func:`skeleton`. Groups are put in first: none of them holds a sign that stands for a class of one sign only."""
+    out = F.col(word) if isinstance(word, str) else word
+    single = {c: k for c, k in _CLASS.items() if len(k) == 1}
+    many = {c: k for c, k in _CLASS.items() if len(k) > 1}
+    out = F.translate(out, "".join(single), "".join(single.values()))
+    for c, k in many.items():
+        out = F.replace(out, F.lit(c), F.lit(k))
     return out
 
 
+def bits(keys: DataFrame, key: str) -> bytes:
+    """A filter of :data:`BITS` bits in which the bit of each key is set; at most ``BITS / 64`` rows reach the driver."""
+    import array
+
+    at = F.pmod(F.crc32(F.col(key).cast("binary")), F.lit(BITS))
+    rows = keys.select(at.alias("at")).distinct().groupBy(F.floor(F.col("at") / 64).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("b"))
+    words = array.array("q", bytes(BITS // 8))
+    for r in rows.collect():
+        words[r["w"]] = r["b"]
+    return words.tobytes()
+
+
+def holds(filter_: bytes, key: str) -> bool:
+    import zlib
+
+    at = zlib.crc32(key.encode("utf-8", "surrogatepass")) & (BITS - 1)
+    return filter_[at >> 3] >> (at & 7) & 1 == 1
+
+
 def distance(bad: str, good: str, dear: float = 9.0) -> float:
     """The weighted edit distance: confusion pairs cost 0.3 (single) or 0.4 (group), equal letters nothing, all else is dear."""
     rows = [[dear] * (len(good) + 1) for _ in range(len(bad) + 1)]
@@ -177,8 +210,9 @@ def divided(lines: list[str]):
                 yield k, m.group(1), h.group(0)
 
 
-def _noise_frames(texts: DataFrame):
-    """The counted lexicon, the misreadings and the findings of every text; see :func:`find_noise`."""
+def _noise_frames(texts: DataFrame, bigrams: bool = False):
+    """The counted lexicon, the misreadings and the findings of every text, with ``bigrams`` also the words before each rival; see
+    :func:`find_noise`."""
     spark = texts.sparkSession
     texts = texts.select(F.col("record_id").cast("string"), F.col("field_name").cast("string"), "text").where(F.length("text") > 0)
 
@@ -206,29 +240,10 @@ def _noise_frames(texts: DataFrame):
 
     lexicon = materialise(texts.mapInArrow(count, "kind string, key string, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")).where("n > 1 OR kind <> 'c'"), "lexicon")
 
-    def index(good: bool):
-        def run(batches):
-            import pyarrow as pa
-
-            for b in batches:
-                ws, ns, ds = [], [], []
-                for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    if _CJK.search(w) or len(w) > 40:
-                        continue
-                    # a fold may also join what a single misreading put together, so both forms are indexed
-                    for d in set().union(*(deletions(x, _TRUE if good else _FALSE) for x in {w, fold(w)})):
-                        ws.append(w)
-                        ns.append(n)
-                        ds.append(d)
-                yield pa.RecordBatch.from_arrays([pa.array(ws, pa.string()), pa.array(ns, pa.int64()), pa.array(ds, pa.string())], ["w", "n", "d"])
-
-        return run
-
     words = lexicon.where("kind = 'w'").select("key", "n")
-    low = words.where(~F.col("key").rlike("^\\d+$"))
-    bad = low.mapInArrow(index(False), "w string, n long, d string")
-    good = low.where((F.col("n") >= MIN_COUNT) & ~F.col("key").rlike("\\d")).mapInArrow(index(True), "w string, n long, d string")
-    met = bad.alias("b").join(good.alias("g"), (F.col("b.d") == F.col("g.d")) & (F.col("b.w") != F.col("g.w")) & (F.col("g.n") >= RATIO * F.col("b.n"))).select(F.col("b.w").alias("bad"), F.col("g.w").alias("good"), F.col("g.n").alias("n")).distinct()
+    low = words.where(~F.col("key").rlike("^\\d+$") & ~F.col("key").rlike("[぀-ヿ㐀-鿿]")).withColumn("d", skeleton_of("key"))
+    good = low.where((F.col("n") >= MIN_COUNT) & ~F.col("key").rlike("\\d"))
+    met = low.alias("b").join(good.alias("g"), (F.col("b.d") == F.col("g.d")) & (F.col("b.key") != F.col("g.key")) & (F.col("g.n") >= RATIO * F.col("b.n"))).select(F.col("b.key").alias("bad"), F.col("g.key").alias("good"), F.col("g.n").alias("n"))
 
     def verify(batches):
         import pyarrow as pa
@@ -245,31 +260,39 @@ def _noise_frames(texts: DataFrame):
     odd = other.join(signs.select(F.col("key").alias("good"), "n"), "good").where((F.col("n") >= MIN_COUNT) & (F.col("n") >= RATIO * F.col("bn"))).select("bad", "good", "n", F.lit(0.3).alias("cost"))
     misread = materialise(met.mapInArrow(verify, "bad string, good string, n long, cost double").unionByName(odd), "misread")
 
-    # what workers may skip: the most frequent keys that are no misreading (a bounded list; all else is joined)
-    held = lexicon.where("kind IN ('w', 'x')").where(F.col("n") >= MIN_COUNT).join(misread.select(F.col("bad").alias("key")).distinct(), "key", "left_anti").orderBy(F.desc("n"), "key").limit(HELD)
-    skip = spark.sparkContext.broadcast(frozenset(r[0] for r in held.select("key").collect()))
-    rivals = misread.groupBy("bad").agg(F.collect_set("good").alias("g")).where(F.size("g") > 1).select(F.explode("g").alias("key")).distinct().limit(HELD)
-    ambiguous = spark.sparkContext.broadcast(frozenset(r[0] for r in rivals.collect()))
+    # what workers pass over: words whose bit no misreading has set (all others are joined)
+    bad_bits = spark.sparkContext.broadcast(bits(misread, "bad"))
+    rival_bits = None
+    if bigrams:
+        rivals = misread.groupBy("bad").agg(F.collect_set("good").alias("g")).where(F.size("g") > 1).select(F.explode("g").alias("key"))
+        rival_bits = spark.sparkContext.broadcast(bits(rivals, "key"))
 
     def find(batches):
         import pyarrow as pa
 
-        sure, rivals_ = skip.value, ambiguous.value
+        bad, rival = bad_bits.value, rival_bits.value if rival_bits else None
+        known: dict[str, tuple[bool, bool]] = {}
         for b in batches:
             rows = []
             context: Counter = Counter()
+            if len(known) > 500_000:
+                known.clear()
             for rid, field, t in zip(*(b.column(i).to_pylist() for i in range(3))):
                 got = _WORD.findall(t)
                 for k, w in enumerate(got):
-                    if w not in sure:
-                        if any(lig in w for lig in "ﬁﬂﬀ"):
-                            rows.append((rid, field, "misread", w, None))
+                    f = known.get(w)
+                    if f is None:
+                        f = known[w] = holds(bad, w), rival is not None and holds(rival, w)
+                    if f[0]:
                         rows.append((rid, field, "word", w, got[k - 1] if k else ""))
-                    elif w in rivals_ and k:
+                    if f[1] and k:
                         context[got[k - 1], w] += 1
                 if not t.isascii():
+                    for w in got:
+                        if any(lig in w for lig in "ﬁﬂﬀ"):
+                            rows.append((rid, field, "misread", w, None))
                     for c, _, _ in signs_in_context(t.replace("\n", "")):
-                        if c not in sure:
+                        if holds(bad, c):
                             rows.append((rid, field, "word", c, ""))
                 if "\n" in t:
                     lines = layout(t)
@@ -364,7 +387,7 @@ def repair(texts: DataFrame) -> DataFrame:
     word, then the most frequent. Defined cases: a null or empty text comes out as it is; a text without noise keeps its words, its lines are
     joined; text with code fences keeps its lines; repeated rows give repeated rows; an empty table gives an empty result.
     """
-    lexicon, misread, found = _noise_frames(texts)
+    lexicon, misread, found = _noise_frames(texts, bigrams=True)
     ids = ["record_id", "field_name"]
     pairs = found.where("what = 'bigram'").groupBy(F.col("key").alias("good"), F.col("key2").alias("prev")).agg(F.sum("n").alias("seen"))
     hits = found.where("what = 'word'").select(*ids, F.col("key").alias("bad"), F.col("key2").alias("prev")).join(misread, "bad")

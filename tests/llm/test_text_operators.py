@@ -190,15 +190,27 @@ def test_weighted_distance():
 
 
 def test_candidates_meet_in_the_index():
+    """Any number of confusions, in words of any length, groups next to each other too."""
     rng = random.Random(1)
-    for good in ("measurement", "distributed", "reinforcement", "household"):
-        for _ in range(30):
-            bad = good
-            for a, b in rng.sample(scan_noise.SINGLE, 2):
-                bad = bad.replace(a, b, 1)
-            if sum(x != y for x, y in zip(good, bad)) <= 2 and bad != good:
-                forms = scan_noise.deletions(scan_noise.fold(bad), scan_noise._FALSE) | scan_noise.deletions(bad, scan_noise._FALSE)
-                assert forms & scan_noise.deletions(scan_noise.fold(good), scan_noise._TRUE)
+    for good in ("measurement", "distributed", "reinforcement", "household", "illumination", "Beweisverwertungsverbote", "modern", "finding" * 9):
+        for _ in range(60):
+            bad = "".join(rng.choice([x for g, x in scan_noise.SINGLE if g == c] or [c]) if rng.random() < 0.4 else c for c in good)
+            for g, x in rng.sample(scan_noise.GROUPS, 2):
+                bad = bad.replace(g, x, 1)
+            assert scan_noise.skeleton(bad) == scan_noise.skeleton(good)
+
+
+def test_index_in_the_jvm(spark):
+    words = ["measurement", "rnodem", "ﬁnding", "ILO10l", "wild", "vvi1cl", "обо", "6o0", "Zürich", "", "uuu"]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select("w", scan_noise.skeleton_of("w").alias("s")).collect()
+    assert {r.w: r.s for r in got} == {w: scan_noise.skeleton(w) for w in words}
+    filter_ = scan_noise.bits(spark.createDataFrame([(w,) for w in words], "w string"), "w")
+    assert all(scan_noise.holds(filter_, w) for w in words) and sum(scan_noise.holds(filter_, f"x{i}") for i in range(1000)) < 5
+
+
+def test_misread_signs_late_in_long_words(spark):
+    got = _noise(spark, {f"b{i}": "Das Beweisverwertungsverbote gilt. Die Nachtragsverteilungsverfahrensordnungsentwurfsfassung gilt." for i in range(20)} | {"late": "Das Beweisverwertungsverbotc gilt.", "many": "Das Bcwcisverwertungsverbotc gilt.", "long": "Die Nachtragsverteilungsverfahrcnsordnungsentwurfsfassung gilt."})
+    assert got == {k: {"misread"} for k in ("late", "many", "long")}
 
 
 # --- problem 5
