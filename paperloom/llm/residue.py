@@ -39,6 +39,7 @@ CUES = re.compile(
 COMMON = frozenset(
     "the of and in to a is for that with on was were by as an are be this we at from der die das und in zu den von mit für auf eine ein wird sich ist le la les des et du une que dans pour sur est a de el los las y en un una con por para se o os as do da em um uma não com и в на не что с по из для к был было".split()
 )
+_SLOT_SIGN = re.compile(r"[{$#<%@_«\[【]|\?\?\?|XX")
 _CJK = re.compile(r"[぀-ヿ㐀-鿿]")
 _UNIT = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])")
 _FURNITURE = re.compile(r"<!-- PAGE \d+ -->|©.*")
@@ -53,7 +54,7 @@ def units(text: str) -> list[str]:
     for line in text.split("\n"):
         line = line.strip()
         if line[:1] == "#":
-            if len(line) <= 200 and not SLOT.search(line):
+            if not has_slot(line):
                 continue
             line = line.lstrip("# ")
         if not line or _FURNITURE.fullmatch(line):
@@ -62,22 +63,28 @@ def units(text: str) -> list[str]:
     return out
 
 
+def has_slot(text: str) -> bool:
+    """Whether a text holds a slot; most hold none of the signs that begin one."""
+    return _SLOT_SIGN.search(text) is not None and SLOT.search(text) is not None
+
+
 def tree_path(unit: str) -> tuple[str, str, str]:
-    """The unit's nodes at the three levels of the prefix tree."""
-    masked = SLOT.sub("§", unit[:400]) if SLOT.search(unit) else unit[:400]
-    head = "§ " if "§" in masked else ""
-    masked = _DIGITS.sub("0", masked[:120].lower())
-    if _CJK.search(masked[:6]):
-        a, b, c = masked[:2], masked[:4], masked[:6]
+    """The unit's nodes at the three levels of the prefix tree; a slot anywhere in it makes them nodes of a template with slots."""
+    head = ""
+    if has_slot(unit):
+        unit, head = SLOT.sub("§", unit), "§ "
+    if _CJK.search(unit[:6]):
+        unit = _DIGITS.sub("0", unit.lower())
+        a, b, c = unit[:2], unit[:4], unit[:6]
     else:
-        tokens = masked.split(None, 3)[:3]
+        tokens = [_DIGITS.sub("0", t) for t in unit.lower().split(None, 3)[:3]]
         a, b, c = tokens[0] if tokens else "", " ".join(tokens[:2]), " ".join(tokens)
     return head + a + "|1", head + b + "|2", head + c + "|3"
 
 
 def wording(unit: str) -> bool:
     """Whether a unit reads as residue by its own words: a cue, a slot, or no common word at all."""
-    if SLOT.search(unit) or CUES.search(unit):
+    if has_slot(unit) or CUES.search(unit):
         return True
     if _CJK.search(unit):
         return False
@@ -91,16 +98,26 @@ def is_sentence(unit: str) -> bool:
 
 def sectioned(text: str) -> bool:
     """Whether a text has a section heading that is no slot."""
-    return any(not SLOT.search(h) for h in _HEADING.findall(text))
+    return any(not has_slot(h) for h in _HEADING.findall(text))
 
 
 def occurrences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row for each document and template: its nodes, and what the document says about them."""
-    schema = f"{id_col} {df.select(id_col).schema[0].dataType.simpleString()}, k1 string, k2 string, k3 string, sectioned boolean, sentence boolean, worded boolean, slots boolean"
+    """One row for each document and template: its nodes, as 64-bit hashes, and what the document says about them."""
+    schema = f"{id_col} {df.select(id_col).schema[0].dataType.simpleString()}, k1 long, k2 long, k3 long, sectioned boolean, sentence boolean, worded boolean, slots boolean"
 
     def run(batches):
         import pyarrow as pa
+        from xxhash import xxh3_64_intdigest
+
+        def node(k: str) -> int:
+            h = nodes.get(k)
+            if h is None:
+                if len(nodes) > 500_000:
+                    nodes.clear()
+                h = nodes[k] = xxh3_64_intdigest(k.encode("utf-8", "surrogatepass")) - (1 << 63)
+            return h
 
+        nodes: dict[str, int] = {}
         names = [id_col, "k1", "k2", "k3", "sectioned", "sentence", "worded", "slots"]
         for b in batches:
             ids, cols = [], [[] for _ in range(7)]
@@ -119,9 +136,9 @@ def occurrences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         old[3] = old[3] and wording(u)
                 for z, (a, m, sent, word, slot) in seen.items():
                     ids.append(i)
-                    for c, v in zip(cols, (a, m, z, sec, sent, word, slot)):
+                    for c, v in zip(cols, (node(a), node(m), node(z), sec, sent, word, slot)):
                         c.append(v)
-            kinds = [pa.string()] * 3 + [pa.bool_()] * 4
+            kinds = [pa.int64()] * 3 + [pa.bool_()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), *(pa.array(c, k) for c, k in zip(cols, kinds))], names)
 
     return df.select(F.col(id_col), F.col(text_col).alias("__text")).mapInArrow(run, schema)
@@ -136,17 +153,11 @@ def classify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     paper's template.
     """
     occ = materialise(occurrences(df, id_col, text_col), "units")
-    stats = (
-        occ.select(F.explode(F.array("k1", "k2", "k3")).alias("node"), "sectioned")
-        .groupBy("node")
-        .agg(F.count("*").alias("n"), F.sum(F.col("sectioned").cast("long")).alias("s"))
-        .where(F.col("n") >= MIN_SUPPORT)
-        .select("node", (F.col("s") / F.col("n") < MAX_SECTIONED).alias("bad"))
-    )
-    stats = materialise(stats, "nodes")
-    leaves = occ.groupBy("k3").agg(F.first("k2").alias("k2"), F.first("k1").alias("k1"), F.max("sectioned").alias("known"))
+    # the leaves are counted once; the nodes above them add their counts up
+    leaves = materialise(occ.groupBy("k3", "k2", "k1").agg(F.count("*").alias("n"), F.sum(F.col("sectioned").cast("long")).alias("s"), F.max("sectioned").alias("known")), "leaves")
     for k in ("k1", "k2", "k3"):
-        leaves = leaves.join(stats.select(F.col("node").alias(k), F.col("bad").alias(f"bad_{k}")), k, "left")
+        stats = leaves.groupBy(k).agg(F.sum("n").alias("n"), F.sum("s").alias("s")).where(F.col("n") >= MIN_SUPPORT).select(k, (F.col("s") / F.col("n") < MAX_SECTIONED).alias(f"bad_{k}"))
+        leaves = leaves.join(stats, k, "left")
     # a template seen in papers is theirs however few they are
     verdict = leaves.select("k3", F.coalesce("bad_k3", F.when(F.col("known"), F.lit(False)), "bad_k2").alias("bad"), "bad_k1")
     judged = occ.join(verdict, "k3").withColumn("bad", F.coalesce("bad", F.when(F.col("worded"), F.lit(True)), "bad_k1", "worded"))

@@ -269,3 +269,14 @@ def test_repair(spark):
     assert got["a"] == "The measurement of modern methods is common. The measurement of well-defined methods was common."
     assert got["n"] is None and got["e"] == "" and got["b0"] == base[0][2]
     assert got["p"] == "The measurement of modern methods is common.\n\nThe measurement of methods was common."
+
+
+def test_slots_and_headings_of_any_length(spark):
+    """A slot far inside a long sentence marks its template; a heading is none of the text however long it is."""
+    far = "The values that we " + "list and compare " * 40 + "were taken from {{table}} of the report."
+    assert residue.tree_path(far)[0].startswith("§") and not residue.tree_path(far.replace("{{table}}", "a table"))[0].startswith("§")
+    assert residue.units("# " + "A long title " * 40 + "\nA sentence.") == ["A sentence."]
+    paper = "# A title\n\n## Abstract\n\n" + EN.format(3, 4)
+    docs = [(i, paper) for i in range(20)] + [(100, paper + " " + far)]
+    got = {r.doc_id: (r.residue, r.open_slots) for r in residue.classify(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[100][0] is False and got[0] == (False, False)
