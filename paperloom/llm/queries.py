@@ -183,8 +183,9 @@ def _p5_assigned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     papers = papers.groupBy("doc_id").agg(F.max_by(F.struct("keywords", "abstract", "said"), F.coalesce("at", F.lit(""))).alias("p")).select("doc_id", "p.*")
     areas = [r[0] for r in refs.where("field_name = 'level1'").select("canon").distinct().collect()]  # the fixed list of areas
     stated = papers.select("doc_id", "keywords", F.array_intersect("said", F.array(*map(F.lit, areas)).cast("array<string>")).alias("areas"))
-    terms = [(r[0], r[1], r[2]) for r in subjects.weighted_terms(stated, refs).collect()]  # bounded by subjects.MIN_RATE
-    return subjects.assign(papers.select("doc_id", F.col("abstract").alias("text")), terms), papers.select("doc_id", "said")
+    terms = materialise(subjects.weighted_terms(stated, refs), "terms")
+    measured = materialise(subjects.measure(spread(papers.select("doc_id", F.col("abstract").alias("text"))), terms), "measured")
+    return subjects.assign(measured, subjects.thresholds(measured, stated)), papers.select("doc_id", "said")
 
 
 @query

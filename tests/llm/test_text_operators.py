@@ -214,16 +214,39 @@ def test_misread_signs_late_in_long_words(spark):
 
 
 # --- problem 5
+TERMS = [("gene editing", "bio", 1.0), ("stem cells", "bio", 1.0), ("tort liability", "law", 1.0), ("liability", "econ", 5.0), ("量子点", "phys", 1.0)]
+
+
+def _measured(spark, texts, terms=TERMS):
+    df = spark.createDataFrame([(*t, "clash") for t in texts], "doc_id string, text string, area string")
+    return subjects.measure(df, spark.createDataFrame(terms, "term string, area string, weight double"))
+
+
 def test_subject_areas(spark):
-    terms = [("gene editing", "bio", 1.0), ("stem cells", "bio", 1.0), ("tort liability", "law", 1.0), ("量子点", "phys", 1.0)]
     texts = [
         ("1", "Gene editing works. We study stem cells. Gene editing again."), ("2", "Gene editing works. We study stem cells. A remark on tort liability."), ("3", "Gene editing and stem cells. Tort liability differs. Stem cells too. Tort liability is old."), ("4", None), ("5", ""), ("6", "Nothing here."),
-        ("7", "本文研究量子点。"), ("8", "Generic gene editings."), ("1", "Gene editing works. We study stem cells. Gene editing again."),
+        ("7", "本文研究量子点。"), ("8", "Generic gene editings."), ("1", "Gene editing works. We study stem cells. Gene editing again."), ("9", "Tort liability. " + "It rained on that day. " * 500),
     ]
-    df = spark.createDataFrame([(*t, "clash") for t in texts], "doc_id string, text string, area string")
-    got = sorted((r.doc_id, r.area) for r in subjects.assign(df, terms).collect())
+    least = {"": (0.15, 0.1)}
+    got = sorted((r.doc_id, r.area) for r in subjects.assign(_measured(spark, texts), least).collect())
     assert got == [("1", "bio"), ("1", "bio"), ("2", "bio"), ("3", "bio"), ("3", "law"), ("7", "phys")]
-    assert subjects.assign(df, []).count() == 0 and subjects.assign(df.limit(0), terms).count() == 0
+    assert _measured(spark, texts, TERMS[:0]).count() == 0 and subjects.assign(_measured(spark, [("1", None)]), least).count() == 0
+
+
+def test_terms_of_several_passes(spark, monkeypatch):
+    texts = [("1", "Gene editing and tort liability. Stem cells."), ("2", "Liability of stem cells. 量子点"), ("2", "Liability of stem cells. 量子点"), ("3", "None.")]
+    one = sorted(map(tuple, _measured(spark, texts).collect()))
+    monkeypatch.setattr(subjects, "MAX_TERMS", 2)
+    assert sorted(map(tuple, _measured(spark, texts).collect())) == one and len(one) == 2 + 2 * 3
+
+
+def test_thresholds_are_calibrated(spark):
+    rows = [(f"a{i}", "bio", 0.4 + i / 1000, 0.2, 2, 2) for i in range(100)] + [(f"b{i}", "law", 0.8, 0.5, 3, 1) for i in range(5)] + [("r", "bio", 0.01, 0.01, 1, 2)]
+    measured = spark.createDataFrame(rows, subjects._SCHEMA)
+    stated = spark.createDataFrame([(r[0], [r[1]]) for r in rows], "doc_id string, areas array<string>")
+    least = subjects.thresholds(measured, stated)
+    assert set(least) == {"bio", ""} and least["bio"] == (pytest.approx(0.2, abs=0.01), pytest.approx(0.1))
+    assert subjects.thresholds(measured.limit(0), stated) == {"": (0.0, 0.0)}
 
 
 def test_terms_are_mined_by_share(spark):
