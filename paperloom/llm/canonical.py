@@ -128,7 +128,7 @@ def map_values(values: DataFrame, refs: DataFrame, head_fields: tuple[str, ...]
 
     # 3. within k edits: pigeonhole over segments; swapped letters are two edits, for which the two segments of k = 1 do not suffice, and
     # are joined by their sorted letters
-    rest = spark.sql("SELECT f.field_name, f.value, f.form, f.n FROM {f} f LEFT ANTI JOIN {d} d ON f.field_name = d.field_name AND f.value = d.value WHERE f.n BETWEEN 3 AND 80", f=forms, d=done)
+    rest = spark.sql("SELECT f.field_name, f.value, f.form, f.n FROM {f} f LEFT ANTI JOIN {d} d ON f.field_name = d.field_name AND f.value = d.value WHERE f.n >= 3", f=forms, d=done)
     segments = spark.sql(
         """
         SELECT ref_id, field_name, form, n, k, i, start, substring(form, start, size) AS seg FROM (
@@ -149,7 +149,7 @@ def map_values(values: DataFrame, refs: DataFrame, head_fields: tuple[str, ...]
           FROM probes p JOIN {s} r ON p.field_name = r.field_name AND p.n = r.n AND p.k = r.k AND p.i = r.i AND p.seg = r.seg
           UNION
           SELECT v.field_name, v.value, v.form, r.ref_id, r.form, r.k
-          FROM (SELECT *, array_join(sort_array(split(form, '')), '') AS letters FROM {v}) v
+          FROM (SELECT *, array_join(sort_array(split(form, '')), '') AS letters FROM {v} w LEFT SEMI JOIN (SELECT DISTINCT field_name, n FROM {r} WHERE k > 0) l ON w.field_name = l.field_name AND w.n = l.n) v
           JOIN (SELECT *, array_join(sort_array(split(form, '')), '') AS letters FROM {r} WHERE k > 0) r ON v.field_name = r.field_name AND v.letters = r.letters)
         SELECT field_name, value, min_by(ref_id, struct(edits, -shared, ref_id)) AS ref_id, min(edits) AS edits
         FROM (SELECT *, levenshtein(form, ref_form) AS edits, size(array_intersect(split(form, ''), split(ref_form, ''))) AS shared FROM pairs)

@@ -277,7 +277,7 @@ near AS (
   SELECT field_name, value, arg_min(ref_id, edits * 1000000 - shared * 1000 + rank) AS ref_id FROM (
     SELECT *, dense_rank() OVER (ORDER BY ref_id) AS rank FROM (
       SELECT f.field_name, f.value, r.ref_id, r.k, f.form, r.form AS rform, {lev("f.form", "r.form")} AS edits, len(list_distinct(list_intersect(string_split(f.form, ''), string_split(r.form, '')))) AS shared FROM forms f JOIN refs r ON f.field_name = r.field_name
-      WHERE f.n BETWEEN 3 AND 80 AND r.k > 0 AND abs(f.n - r.n) <= 2 AND NOT EXISTS (SELECT 1 FROM done e WHERE e.field_name = f.field_name AND e.value = f.value)))
+      WHERE f.n >= 3 AND r.k > 0 AND abs(f.n - r.n) <= 2 AND NOT EXISTS (SELECT 1 FROM done e WHERE e.field_name = f.field_name AND e.value = f.value)))
   WHERE edits <= k OR (k > 0 AND edits = 2 AND length(form) = length(rform) AND list_sort(string_split(form, '')) = list_sort(string_split(rform, '')))
   GROUP BY 1, 2),
 found AS (SELECT * FROM done UNION ALL SELECT * FROM near)
