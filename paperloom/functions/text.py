@@ -190,12 +190,26 @@ def stem(key: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(c(key), r"^.*/", ""), r"\.[^.]*$", "")
 
 
+#: T-15, fixed values: notes within a title line that are taken out, in this order.
+TITLE_NOTES = (r"(?iU)\bCite\s*this[:\s](?:DOI[:\s]*[0-9./]+)?", r"(?iU)\bDOI[:\s]*10\.\d{4,}/\S+")
+
+
+def without_note(x: Column, pattern: str) -> Column:
+    """A title line without the first note of a form: what stands on both sides of it, or the side that is long enough alone."""
+    parts = F.split(x, pattern, 2)
+    before, after = strip(F.get(parts, F.lit(0))), strip(F.get(parts, F.lit(1)))
+    n, m = F.length(before), F.length(after)
+    return F.when(F.size(parts) < 2, x).when((n > 10) & (m > 3), F.concat(before, F.lit(" "), after)).when(n > 15, before).when(m > 15, after).otherwise(x)
+
+
 def title(x: Column | str, stem: Column | str) -> Column:
-    """T-15: the title: the first acceptable ``# `` line, else the first acceptable ``## `` line, else the file stem."""
+    """T-15: the title: the first acceptable ``# `` line without notes, else the first acceptable ``## `` line, else the file stem."""
     lines = F.split(c(x), "\n")
     bare = lambda line, n: unbold(F.regexp_replace(F.substring(line, F.lit(n), F.length(line)), "`(.*?)`", "$1"))
     h1 = F.filter(F.transform(F.filter(lines, lambda s: s.startswith("# ") & ~s.startswith("# #")), lambda s: bare(s, 3)), lambda t: (F.length(t) >= 15) & ~_holds_any(t, NO_TITLE))
     first = F.get(h1, F.lit(0))
+    for note in TITLE_NOTES:
+        first = without_note(first, note)
     first = F.regexp_replace(first, r"(?U)\s+[\*†§#‡]+\s*$", "")
     first = F.regexp_replace(first, r"(?U)\s+[0-9]+-[0-9]+\s*$", "")
     first = squeeze(F.regexp_replace(first, r"(?U)\s*\([12][0-9]{3}\)\s*$", ""))

@@ -24,6 +24,8 @@ TYPES = {
     "limitation": ("lm", (), "limitations"),
 }
 REQUIRED = {"concept": "term", "dataset": "name", "method": "name"}
+#: Concepts of a paper that share keys and are folded as one list; more are settled in rounds first.
+FOLD = 10_000
 #: Fixed value: datasets that may share one located evidence.
 SHARED = 5
 
@@ -109,11 +111,35 @@ def greedy_concepts(concepts: DataFrame, by: str = "doc_id", order: str = "pos")
     differs, inside the JVM.
     """
     d = concepts.withColumn("__keys", concept_keys()).withColumn("__sorted", F.array_sort("__keys"))
-    first = d.groupBy(by, "__sorted").agg(F.min_by(F.struct(F.col(order).alias("o"), F.col("__keys").alias("k")), F.col(order)).alias("c"))
+    from paperloom.tables import materialise
+
+    bare = d.where(F.size("__keys") == 0).select(by, order)
+    first = materialise(d.where(F.size("__keys") > 0).groupBy(by, "__sorted").agg(F.min_by(F.struct(F.col(order).alias("o"), F.col("__keys").alias("k")), F.col(order)).alias("c")).select(by, "c"), "concepts")
+    # a concept none of whose keys another one has is kept without comparison, and so round by round are those that come first under all their
+    # keys, until the lists that are left to be folded are short
+    settled = None
+    while True:
+        under = first.select(by, F.col("c.o").alias("__o"), F.explode("c.k").alias("__k"))
+        heads = under.groupBy(by, "__k").agg(F.min("__o").alias("__least"), F.count("*").alias("__many"))
+        stand = under.join(heads, [by, "__k"]).groupBy(by, "__o").agg(F.min(F.col("__o") == F.col("__least")).alias("__leads"), F.max("__many").alias("__most"))
+        stand = materialise(stand, "stand")
+        sure = stand.where("__most = 1").select(by, F.col("__o").alias(order))
+        left = first.join(stand.where("__most > 1").select(by, F.col("__o")), (first[by] == stand[by]) & (F.col("c.o") == F.col("__o")), "left_semi")
+        longest = left.groupBy(by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        if longest > FOLD:
+            lead = stand.where("__leads").select(by, F.col("__o").alias(order))
+            taken = under.join(lead.withColumnRenamed(order, "__o"), [by, "__o"], "left_semi").select(by, "__k").distinct()
+            gone = under.join(taken, [by, "__k"], "left_semi").select(by, "__o").distinct()
+            sure = lead
+            left = first.join(gone.select(F.col(by).alias("__b"), "__o"), (F.col(by) == F.col("__b")) & (F.col("c.o") == F.col("__o")), "left_anti")
+        settled = sure if settled is None else settled.unionByName(sure)
+        first = materialise(left, "concepts")
+        if longest <= FOLD:
+            break
     start = F.struct(F.array().cast("array<string>").alias("held"), F.array().cast(f"array<{concepts.schema[order].dataType.simpleString()}>").alias("kept"))
     fold = lambda acc, x: F.when(F.arrays_overlap(acc["held"], x["k"]), acc).otherwise(F.struct(F.concat(acc["held"], x["k"]).alias("held"), F.concat(acc["kept"], F.array(x["o"])).alias("kept")))
     kept = first.groupBy(by).agg(F.aggregate(F.array_sort(F.collect_list("c")), start, fold)["kept"].alias("kept")).select(by, F.explode("kept").alias(order))
-    return concepts.join(kept, [by, order], "left_semi")
+    return concepts.join(settled.unionByName(kept).unionByName(bare), [by, order], "left_semi")
 
 
 def alias_map(concepts: DataFrame, by: str = "doc_id", id_col: str = "entry_id") -> DataFrame:
@@ -163,8 +189,16 @@ def collapse_datasets(entries: DataFrame, by: str = "doc_id", order: str = "pos"
 
 def public_ids(entries: DataFrame, by: str = "doc_id", order: str = "pos") -> DataFrame:
     """W-4: entries with ``public_id``: paper, type and the entry's number among its paper's entries of the type."""
-    n = F.row_number().over(Window.partitionBy(by, "type").orderBy(order))
-    return entries.withColumn("public_id", F.format_string("%s_%s_%04d", F.col(by), F.col("type"), n))
+    from paperloom.tables import materialise
+
+    # numbered within ranges of the order, and the ranges added up: a paper with a third of all entries is no single sort
+    r = materialise(entries.repartitionByRange(by, "type", order).withColumn("__part", F.spark_partition_id()), "ranged")
+    here = r.groupBy(by, "type", "__part").agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy(by, "type").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = here.select(F.col(by).alias("__b"), F.col("type").alias("__t"), F.col("__part").alias("__q"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    j = r.join(before, F.col(by).eqNullSafe(F.col("__b")) & F.col("type").eqNullSafe(F.col("__t")) & (F.col("__part") == F.col("__q")), "left")
+    n = F.row_number().over(Window.partitionBy(by, "type", "__part").orderBy(order)) + F.col("__before")
+    return j.withColumn("public_id", F.format_string("%s_%s_%04d", F.col(by), F.col("type"), n)).select(*entries.columns, "public_id")
 
 
 def relink(relations: DataFrame, ids: DataFrame, by: str = "doc_id", old: str = "entry_id") -> DataFrame:
@@ -220,4 +254,19 @@ def assemble(items: DataFrame, papers: DataFrame, docs_key: str = "source_key")
     # concepts before all else (L-7), then the order of the replies
     entries = public_ids(entries.withColumn("ord", F.struct((F.col("type") != "concept").alias("late"), "pos")), order="ord").drop("ord")
     links = link_relations(entries.where("type = 'relation'"), alias_map(entries.where("type = 'concept'"), id_col="public_id"))
-    return {"entries": entries.where("type <> 'relation'").unionByName(links, allowMissingColumns=True), "collapsed": collapsed, "audit": E.audit(found, ["doc_id", "pos", "type"])}
+    # J-8, J-7: the audit without what was collapsed, with the public ids
+    at = ["doc_id", "pos", "type"]
+    audit = E.audit(found, at).join(entries.select(*at, F.col("public_id").alias("entry_id")), at)
+    return {"entries": entries.where("type <> 'relation'").unionByName(links, allowMissingColumns=True), "collapsed": collapsed, "audit": audit}
+
+
+def legacy_links(entry: Column) -> tuple[Column, Column]:
+    """N-8: (head, tail) of a relation's JSON: the links of its payload, else those that older documents hold beside it."""
+    g = lambda p: F.nullif(F.get_json_object(entry, p), F.lit(""))
+    return tuple(F.coalesce(g(f"$.payload.{end}_entry_id"), g(f"$.{end}")) for end in ("head", "tail"))
+
+
+def extraction_info(model: Column, at: Column, retried: Column, failed: Column) -> Column:
+    """K-11: the stamp of an extraction; ``retried`` and ``failed`` are comma-separated groups, null without any."""
+    groups = lambda c: F.when(c != "", F.split(c, ","))
+    return F.struct(model.alias("extraction_model"), at.alias("extraction_timestamp"), F.lit("anchor_grouped").alias("extraction_method"), groups(retried).alias("retry_groups"), groups(failed).alias("failed_groups"))

@@ -41,31 +41,42 @@ NUMERIC = ("quantitative_result", "performance_result")
 DEFAULT_GROUPS = ("study_design", "results_claims")
 
 
-def parse_spec(spec: str) -> list[list[str]]:
-    """T-25: ``concept|dataset+method`` as groups of types; an unknown type is an error."""
+#: L-6, fixed value: the order in which the results of the groups are put together.
+ORDER = (
+    "GA_study_design", "GB_results_claims", "GC_concept", "GR_relation", "G1_concept_relation", "GD_dataset", "GDS_data_specification", "G2_dataset_spec", "GM_method", "GX_experiment",
+    "G3_method_experiment", "GQR_quantitative_result", "GP_performance_result", "G4_quant_perf", "GCA_claim", "GCL_conclusion", "GLM_limitation", "GFW_future_work", "G5_insight_outlook",
+)
+
+
+def parse_spec(spec: str, strict: bool = False) -> list[list[str]]:
+    """T-25: ``concept|dataset+method`` as groups of types; an unknown type is left out, or with ``strict`` an error."""
     out = []
     for part in filter(None, (p.strip() for p in spec.split("|"))):
         types = [t.strip() for t in part.split("+") if t.strip()]
         bad = [t for t in types if t not in TYPES]
-        if bad:
+        if bad and strict:
             raise ValueError(f"unknown types {bad}")
+        types = [t for t in types if t in TYPES]
         if types:
             out.append(types)
     return out
 
 
-def group_table(spark: SparkSession, names: tuple[str, ...] = DEFAULT_GROUPS, spec: str = "") -> DataFrame:
-    """P-13, Q-6: (ord, grp, types, tables): the chosen groups in order; ``tables`` where a numeric type needs the view with tables. Own groups
-    come with concept-bearing ones first (L-6); an unknown name is an error."""
+def group_table(spark: SparkSession, names: tuple[str, ...] = DEFAULT_GROUPS, spec: str = "", strict: bool = False) -> DataFrame:
+    """P-13, Q-6, L-6: (ord, grp, types, tables): the chosen groups in the order of their results; ``tables`` where a numeric type needs the view
+    with tables. Own groups keep the number of their place in the spec and come with concept-bearing ones first. An unknown name is left
+    out, so that there may be no group at all; with ``strict`` both are errors."""
     if spec:
-        own = sorted(parse_spec(spec), key=lambda g: "concept" not in g)
-        rows = [(i, f"GX_custom_{i}", g, bool(set(g) & set(NUMERIC))) for i, g in enumerate(own)]
+        own = sorted(enumerate(parse_spec(spec, strict)), key=lambda x: "concept" not in x[1])
+        rows = [(k, f"GX_custom_{i}", g, bool(set(g) & set(NUMERIC))) for k, (i, g) in enumerate(own)]
     else:
-        known = {n: i for i, (full, short, _) in enumerate(GROUPS) for n in (full, short)}
+        known = {n: full for full, short, _ in GROUPS for n in (full, short)}
         bad = [n for n in names if n not in known]
-        if bad or not names:
+        if strict and (bad or not names):
             raise ValueError(f"unknown groups {bad}")
-        rows = [(i, GROUPS[i][0], list(GROUPS[i][2]), bool(set(GROUPS[i][2]) & set(NUMERIC))) for i in sorted({known[n] for n in names})]
+        types = {full: t for full, _, t in GROUPS}
+        chosen = {known[n] for n in names if n in known}
+        rows = [(k, g, list(types[g]), bool(set(types[g]) & set(NUMERIC))) for k, g in enumerate(ORDER) if g in chosen]
     return spark.createDataFrame(rows, "ord int, grp string, types array<string>, tables boolean")
 
 

@@ -173,6 +173,22 @@ def record(df: DataFrame, facts: DataFrame, now: str) -> DataFrame:
     return out.withColumns(values | {"updated_at": F.when(F.col("__hit"), F.lit(now)).otherwise(F.col("updated_at"))}).select(*df.columns)
 
 
+def set_failed_groups(df: DataFrame, where: Column, groups: Column, now: str) -> DataFrame:
+    """G-15: the failed groups of rows (an array); with any the extraction is partial, without one they are cleared."""
+    names = F.array_join(F.array_sort(F.array_distinct(F.filter(F.coalesce(groups, F.array().cast("array<string>")), lambda g: g != ""))), ",")
+    out = _update(df, where, {"extract_failed_groups": F.nullif(names, F.lit("")), "updated_at": F.lit(now)})
+    return _update(out, where & (names != ""), {"extract_status": F.lit("partial")})
+
+
+def stage_totals(df: DataFrame) -> DataFrame:
+    """A-11: (stage, done, tokens_in, tokens_out, tokens_a_paper) of the stages that ask a model."""
+    of = lambda s: F.struct(
+        F.lit(s).alias("stage"), (F.col(f"{s}_status") == "done").alias("done"), F.coalesce(f"{s}_prompt_tokens", F.lit(0)).alias("i"), F.coalesce(f"{s}_completion_tokens", F.lit(0)).alias("o")
+    )
+    per = df.select(F.explode(F.array(of("preprocess"), of("extract"))).alias("x")).groupBy("x.stage").agg(F.count_if("x.done").alias("done"), F.sum("x.i").alias("tokens_in"), F.sum("x.o").alias("tokens_out"))
+    return per.withColumn("tokens_a_paper", F.when(F.col("done") > 0, F.floor((F.col("tokens_in") + F.col("tokens_out")) / F.col("done"))))
+
+
 def failed_groups(df: DataFrame) -> DataFrame:
     """G-15: (source_key, groups) of the papers with failed groups."""
     groups = F.filter(F.transform(F.split("extract_failed_groups", ","), F.trim), lambda g: g != "")

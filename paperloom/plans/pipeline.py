@@ -48,11 +48,13 @@ def convert_stage(state: DataFrame, pdfs: DataFrame, now: str, min_chars: int =
 _LEVELS = "struct<level1:string,level2:string,level3:string>"
 
 
-def claim(state: DataFrame, stage: str, now_s: float, now: str, only: Column | None = None) -> DataFrame:
-    """The state with the eligible papers of a stage set running, those of ``only`` where it is given; to be written before the stage is run."""
+def claim(state: DataFrame, stage: str, now_s: float, now: str, only: Column | None = None, limit: int = 0) -> DataFrame:
+    """The state with the eligible papers of a stage set running, those of ``only`` where it is given, the first ``limit`` by key (P-7; 0: all); to
+    be written before the stage is run."""
+    most = limit or None
     if only is None:
-        return materialise(S.claim(state, stage, now_s, now), "claimed")
-    return materialise(S.claim(state.where(only), stage, now_s, now).unionByName(state.where(~F.coalesce(only, F.lit(False)))), "claimed")
+        return materialise(S.claim(state, stage, now_s, now, most), "claimed")
+    return materialise(S.claim(state.where(only), stage, now_s, now, most).unionByName(state.where(~F.coalesce(only, F.lit(False)))), "claimed")
 
 
 def _claimed(state: DataFrame, papers: DataFrame, stage: str, now_s: float) -> tuple[Column, DataFrame]:
@@ -123,9 +125,8 @@ def extract_claimed(
     s = S.mark_done(s, ran & F.col("__failed").isNull(), "extract", now)
     s = S._update(s, ran & F.col("__failed").isNotNull(), {"extract_status": F.lit("partial")})
     s = S.mark_failed(s, F.col("__mine") & ~F.col("__known"), "extract", F.lit("no text, or none of its groups is chosen"), now)
-    split = lambda c: F.split(F.col(c), ",")
-    info = F.struct(F.lit(model).alias("extraction_model"), F.lit(now).alias("extraction_timestamp"), F.lit("anchor_grouped").alias("extraction_method"), split("__retried").alias("retry_groups"), split("__failed").alias("failed_groups"))
-    return {"state": s.select(*state.columns), "entries": new, "audit": out["audit"], "info": facts.where("__p IS NOT NULL").select("source_key", info.alias("extraction_info"))}
+    info = N.extraction_info(F.lit(model), F.lit(now), F.col("__retried"), F.col("__failed"))
+    return {"state": s.select(*state.columns), "entries": new, "audit": out["audit"], "replies": out["replies"], "info": facts.where("__p IS NOT NULL").select("source_key", info.alias("extraction_info"))}
 
 
 def extract_stage(papers: DataFrame, doc_ids: DataFrame, client: P.Client, names: tuple[str, ...] = P.DEFAULT_GROUPS, spec: str = "", only: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -138,19 +139,27 @@ def extract_stage(papers: DataFrame, doc_ids: DataFrame, client: P.Client, names
     replies = materialise(P.call(prompts.repartition(F.col("source_key")), client), "replies")
     items = N.unify_reply(replies.where("reply IS NOT NULL").select("source_key", "ord", "reply"))
     # one position across the groups: their order, concepts first, then the place in the reply
-    items = items.join(doc_ids, "source_key").withColumn("pos", F.col("ord").cast("long") * 1_000_000 + F.col("pos"))
+    items = items.join(doc_ids, "source_key").withColumn("pos", F.expr("shiftleft(CAST(ord AS BIGINT), 40)") + F.col("pos"))
     out = N.assemble(items.select("doc_id", "source_key", "pos", "type", "item"), papers)
     failed = replies.where("error IS NOT NULL").groupBy("source_key").agg(F.array_join(F.array_sort(F.collect_set("grp")), ",").alias("extract_failed_groups"))
     usage = replies.groupBy("source_key").agg(F.sum("prompt_tokens").cast("int").alias("extract_prompt_tokens"), F.sum("completion_tokens").cast("int").alias("extract_completion_tokens"))
     return out | {"replies": replies, "failed": failed, "usage": usage}
 
 
-def inspect(state: DataFrame, papers: DataFrame, entries: DataFrame, doc_ids: DataFrame) -> DataFrame:
-    """J-9, U-1, A-5, A-6, A-12: a row a paper known anywhere: which artifacts there are, characters and pages, entries and located ones."""
+def inspect(state: DataFrame, papers: DataFrame, entries: DataFrame, doc_ids: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """J-9, U-1, A-5, A-6, A-12, A-13: a row a paper known anywhere: which artifacts there are, characters and pages, entries and located ones,
+    and with ``raw`` (source_key, grp) the recorded replies."""
     keys = state.select("source_key").unionByName(papers.select("source_key")).unionByName(doc_ids.select("source_key")).distinct()
     text = papers.select("source_key", F.length("text").alias("chars"), F.regexp_count("text", F.lit(X.PAGE_MARKER_ANY)).alias("pages"), F.lit(True).alias("has_text")).dropDuplicates(["source_key"])
     ent = entries.groupBy("doc_id").agg(F.count("*").alias("entries"), F.count_if(F.col("evidence.page").isNotNull()).alias("located"))
     ids = doc_ids.select("source_key", "doc_id").dropDuplicates(["source_key"]).withColumn("has_json", F.lit(True))
     st = state.select("source_key", "convert_status", "preprocess_status", "extract_status")
     out = keys.join(st, "source_key", "left").join(text, "source_key", "left").join(ids.join(ent, "doc_id", "left"), "source_key", "left")
+    if raw is not None:
+        out = out.join(raw_counts(raw), "source_key", "left").withColumn("raw_replies", F.coalesce("raw_replies", F.lit(0)))
     return out.withColumns({"has_text": F.coalesce("has_text", F.lit(False)), "has_json": F.coalesce("has_json", F.lit(False))})
+
+
+def raw_counts(raw: DataFrame) -> DataFrame:
+    """A-13: (source_key, raw_replies): the recorded replies of each paper."""
+    return raw.groupBy("source_key").agg(F.count("*").alias("raw_replies"))

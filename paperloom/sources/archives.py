@@ -96,8 +96,8 @@ def prepare(spark: SparkSession, root: str, out: str, prepared_at: str, selected
     """S-4, S-7: unpack the archives below ``root`` that are not current into ``out/members`` (a partition a batch, replaced as a whole) and
     their manifest rows into ``out/manifest``; (status, n): extracted, skipped, failed. A bad archive fails alone."""
     from paperloom.sources import snapshots
+    from paperloom.tables import materialise
 
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     found = find(spark, root, selected)
     old = snapshots.read_or_none(spark, f"{out}/manifest")
     if old is not None and not force:
@@ -106,9 +106,9 @@ def prepare(spark: SparkSession, root: str, out: str, prepared_at: str, selected
     else:
         found = found.withColumn("current", F.lit(False))
     todo = found.where("NOT current")
-    pdfs = snapshots.keep(members(todo), f"{out}/_unpacked")
+    pdfs = materialise(members(todo), "unpacked")
     good = pdfs.where("error IS NULL").withColumn("batch", F.regexp_replace("archive", r"(?i)\.zip$", "")).withColumn("source_key", identity.source_key(F.concat("batch", F.lit("/"), "member")))
-    good.write.mode("overwrite").partitionBy("batch").parquet(f"{out}/members")
+    good.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(f"{out}/members")
     n = good.groupBy("archive").agg(F.count("*").cast("int").alias("pdf_count"))
     rows = todo.drop("content", "current").join(n, "archive").withColumn("prepared_at", F.lit(prepared_at))
     new = rows if old is None else old.join(rows.select("archive"), "archive", "left_anti").unionByName(rows, allowMissingColumns=True)

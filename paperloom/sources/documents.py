@@ -45,6 +45,19 @@ class Settings:
         return Settings(**{f.name: type(f.default)(env[f.name.upper()]) for f in fields(Settings) if env.get(f.name.upper(), "") != ""})
 
 
+def scope_paths(base: str, settings: Settings, source: str | None = None) -> tuple[str, str, str]:
+    """P-4: (folder of PDFs, folder of their texts, root of their keys) of a scope: a source within the PDF root keeps its place below it, any
+    other takes its own name and is its own root."""
+    full = lambda p: os.path.normpath(p if os.path.isabs(p) else os.path.join(base, p))
+    pdfs, texts = full(settings.pdf_dir), full(settings.markdown_dir)
+    if source is None:
+        return pdfs, texts, pdfs
+    at = full(source)
+    inside = at == pdfs or at.startswith(pdfs.rstrip("/") + "/")
+    below = os.path.relpath(at, pdfs) if inside else os.path.basename(at)
+    return at, texts if below == "." else os.path.join(texts, below), pdfs if inside else at
+
+
 def read_pdfs(spark: SparkSession, root: str) -> DataFrame:
     """S-8: (source_key, content, source_pdf_sha256_96) of the ``.pdf`` files below a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.pdf").load(root)
@@ -60,9 +73,14 @@ def plain_pages(content: bytes) -> list[str]:
     return content.decode("utf-8", "replace").split("\f")
 
 
-def convert(pdfs: DataFrame, converter: Converter = plain_pages) -> DataFrame:
+def convert(pdfs: DataFrame, converter: Converter = plain_pages, known: DataFrame | None = None) -> DataFrame:
     """S-9, S-10: (source_key, text, char_count, converted_text_sha256_96, elapsed, error): pages joined by 1-based markers, cleaned up
-    (T-1 to T-3). A paper that cannot be converted gives its error."""
+    (T-1 to T-3). A paper that cannot be converted gives its error. Of the papers in ``known`` (source_key, text) the text is taken as it is and
+    took no time."""
+    if known is not None:
+        old = known.where(F.col("text").isNotNull()).groupBy("source_key").agg(F.max("text").alias("text")).join(pdfs.select("source_key").distinct(), "source_key", "left_semi")
+        again = old.withColumns({"elapsed": F.lit(0.0), "error": F.lit(None).cast("string"), "char_count": F.length("text").cast("long"), "converted_text_sha256_96": identity.fingerprint("text")})
+        return convert(pdfs.join(old.select("source_key"), "source_key", "left_anti"), converter).unionByName(again)
 
     def run(batches):
         import time

@@ -21,33 +21,61 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The current snapshot at ``path``, or None."""
-    if not exists(spark, f"{path}/_current"):
-        return None
-    version = spark.read.text(f"{path}/_current").first()[0]
-    return spark.read.parquet(f"{path}/{version}")
+    version = current_version(spark, path)
+    return None if version is None else spark.read.parquet(f"{path}/{version}")
 
 
-def replace(df: DataFrame, path: str) -> str:
-    """Write the next snapshot and point to it; readers of the last one are not disturbed, and a lost write leaves it in place."""
-    version = f"v-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(f"{path}/{version}")
-    df.sparkSession.createDataFrame([(version,)], "v string").coalesce(1).write.mode("overwrite").text(f"{path}/_current")
-    return version
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The name of the current snapshot; None where nothing was ever written. Snapshots without a pointer are an error and no empty table."""
+    fs, at, jvm = _fs(spark, f"{path}/CURRENT")
+    if fs.exists(at):
+        return spark.read.text(f"{path}/CURRENT").first()[0]
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/v-*"))
+    if found is not None and len(found):
+        raise RuntimeError(f"{path} holds snapshots and no pointer to one")
+    return None
+
 
+def replace(df: DataFrame, path: str, expected: str | None = None) -> str:
+    """Write the next snapshot and point to it; readers of the last one are not disturbed, and a lost write leaves it in place.
 
-def keep(df: DataFrame, path: str) -> DataFrame:
-    """Write an intermediate table and read it back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    The pointer is a file that is written beside the old one and renamed over it, so there is one at any time. With ``expected`` (the version
+    that the new one was made from) a snapshot that another writer has put there since is an error and stays.
+    """
+    spark = df.sparkSession
+    version = f"v-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(f"{path}/_new-{version}")
+    fs, at, jvm = _fs(spark, f"{path}/CURRENT")
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{path}/_fresh-{version}")
+    out = fs.create(fresh, True)
+    out.write(bytearray((version + "\n").encode()))
+    out.close()
+    if expected is not None and current_version(spark, path) != expected:
+        fs.delete(fresh, False)
+        raise RuntimeError(f"{path} was written by another run")
+    fs.rename(jvm.org.apache.hadoop.fs.Path(f"{path}/_new-{version}"), jvm.org.apache.hadoop.fs.Path(f"{path}/{version}"))
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(fs.makeQualified(fresh), fs.makeQualified(at), over)
+    return version
 
 
-def archive_run(spark: SparkSession, path: str, stamp: str) -> str | None:
-    """S-17: the current snapshot copied to ``runs/<stamp>`` before a forced run."""
-    df = read_or_none(spark, path)
-    if df is None:
-        return None
-    df.write.mode("overwrite").parquet(f"{path}/runs/{stamp}")
-    return f"{path}/runs/{stamp}"
+def archive_run(spark: SparkSession, root: str, tables: tuple[str, ...], stamp: str, stages: tuple[str, ...]) -> DataFrame:
+    """S-17: the current snapshots of the tables below ``root`` copied to ``runs/<stamp>`` before a forced run, with a manifest: a row a table
+    (name, version, rows; null where it was never written), with the stages that will be run."""
+    rows = []
+    for name in tables:
+        version = current_version(spark, f"{root}/{name}")
+        n = None
+        if version is not None:
+            copy = f"{root}/runs/{stamp}/{name}"
+            spark.read.parquet(f"{root}/{name}/{version}").write.mode("overwrite").parquet(copy)
+            n = spark.read.parquet(copy).count()
+        rows.append((name, version, n, ",".join(stages), stamp))
+    manifest = spark.createDataFrame(rows, "name string, version string, rows long, stages string, stamp string")
+    manifest.coalesce(1).write.mode("overwrite").json(f"{root}/runs/{stamp}/manifest")
+    return manifest
 
 
 def discard(artifacts: DataFrame, skipped: DataFrame, key: str = "source_key") -> DataFrame:

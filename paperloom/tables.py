@@ -37,12 +37,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 
-    ``spark.checkpoint.dir`` names it on a cluster. Only where it is unset (tests) a folder under the
-    session's warehouse is used.
+    ``spark.checkpoint.dir`` names it on a cluster. Only where it is unset in local mode (tests) a folder under the session's warehouse is
+    used; on a cluster that would be a folder of one machine and is an error.
     """
     conf = spark.sparkContext.getConf()
     shared = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_paperloom_shared"
     return shared.rstrip("/")
 
@@ -54,11 +56,23 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     not a recomputation.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables within the shared one."""
+    return f"{checkpoint_dir(spark)}/paperloom-{spark.sparkContext.applicationId}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables. For the end of a run: no frame that was made before can be read after it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def is_small(df: DataFrame, limit: int) -> bool:
     """Whether ``df`` has at most ``limit`` rows; reads no further than that."""
     return df.limit(limit + 1).count() <= limit

@@ -173,10 +173,12 @@ def test_disciplines(spark):
 def test_groups(spark):
     assert P.parse_spec("concept| dataset + method") == [["concept"], ["dataset", "method"]]
     with pytest.raises(ValueError):
-        P.parse_spec("nothing")
+        P.parse_spec("nothing", strict=True)
     with pytest.raises(ValueError):
-        P.group_table(spark, ("nothing",))
-    assert [r.grp for r in P.group_table(spark, spec="claim|concept").collect()] == ["GX_custom_0", "GX_custom_1"]
+        P.group_table(spark, ("nothing",), strict=True)
+    assert P.parse_spec("nothing|claim+none") == [["claim"]] and P.group_table(spark, ("nothing",)).count() == 0
+    assert [r.grp for r in P.group_table(spark, ("relation", "nothing", "concept_relation", "concept")).collect()] == ["GC_concept", "GR_relation", "G1_concept_relation"]
+    assert [(r.grp, r.types) for r in P.group_table(spark, spec="claim|concept").collect()] == [("GX_custom_1", ["concept"]), ("GX_custom_0", ["claim"])]
     assert len(P.GROUPS) == 19
 
 
