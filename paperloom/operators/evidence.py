@@ -22,6 +22,11 @@ CAPTION = r"(?i)\b(?:table|fig(?:ure)?\.?)\s*\d+"
 SEPARATOR = r"^\s*\|(?:\s*:?-+:?\s*\|)+\s*$"
 
 
+def _first(xs: Column, kind: str, test) -> Column:
+    """The first element that passes a test; the test is not made for those behind it."""
+    return F.aggregate(xs, F.lit(None).cast(kind), lambda acc, x: F.when(acc.isNotNull(), acc).when(test(x), x))
+
+
 def _best_in_page(p: Column, needle: Column) -> Column:
     """The block where an anchor starts on a page: shortest run of 1..4 blocks first, then the earliest; else, where only the page as a
     whole holds the anchor, the first block with its first 80 characters."""
@@ -29,7 +34,7 @@ def _best_in_page(p: Column, needle: Column) -> Column:
     n = F.size(norms)
     runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda s: F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda b: F.struct(s.alias("s"), b.alias("b")))))
     fits = lambda r: (r["b"] + r["s"] <= n) & F.contains(F.array_join(F.slice(norms, r["b"] + 1, r["s"]), " "), needle)
-    run = F.when(F.contains(F.array_join(norms, " "), needle), F.get(F.filter(runs, fits), F.lit(0))["b"])
+    run = F.when(F.contains(F.array_join(norms, " "), needle), _first(runs, "struct<s:int,b:int>", fits)["b"])
     whole = F.when(F.contains(p["norm"], needle), F.get(F.filter(F.transform(p["blocks"], lambda b, i: F.struct(b["norm"].alias("n"), i.alias("i"))), lambda x: F.contains(x["n"], F.substring(needle, 1, FRAGMENT))), F.lit(0))["i"])
     return F.coalesce(run, whole)
 
@@ -61,7 +66,7 @@ def locate(anchors: DataFrame, papers: DataFrame, key: str = "source_key", ancho
     hits = lambda f: F.filter(F.col("__blocks"), lambda b: F.contains(b["norm"], f))
     j = j.withColumn("__blocks", F.when(F.col("__at").isNull() & (F.length("needle") >= FRAGMENT), blocks))
     pieces = F.filter(F.transform(fragments(F.col("needle")), X.strip), lambda f: F.length(f) >= FRAGMENT)
-    found = F.get(F.filter(F.transform(pieces, hits), lambda h: F.size(h) == 1), F.lit(0))
+    found = _first(F.transform(pieces, hits), "array<struct<pidx:int,page:int,bidx:int,norm:string>>", lambda h: F.size(h) == 1)
     j = j.withColumn("__piece", F.when(F.col("__blocks").isNotNull(), F.get(found, F.lit(0))))
     pick = lambda f: F.coalesce(F.col(f"__at.{f}"), F.col(f"__piece.{f}"))
     method = F.when(F.col("__at").isNotNull(), "exact").when(F.col("__piece").isNotNull(), "unique_fragment").otherwise("unmatched")
@@ -78,20 +83,21 @@ def _compact(raw: Column, needle: Column) -> Column:
     return F.when(F.size(lines) == 0, X.strip(raw)).otherwise(F.substring(F.array_join(rows, "\n"), 1, CAP))
 
 
+def _letters(x: Column) -> Column:
+    return F.regexp_replace(x, r"[^\p{L}\p{N}]+", "")
+
+
 def _window(raws: Column, squeezed: Column, needle: Column) -> Column:
     """W-6: (start, span) of the shortest, then earliest run of 1..12 sentences that holds the needle; null without one.
 
-    A run can hold it only if it does so without any blanks, which is tested first and is cheap.
+    A run can hold it only if its letters and digits hold those of the needle, which is tested first and is cheap.
     """
     n = F.size(raws)
-    bare = F.regexp_replace(needle, r"\s", "")
+    bare = _letters(needle)
     runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(WINDOW)), lambda s: F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda b: F.struct(b.alias("start"), s.alias("span")))))
-    holds = lambda r: (
-        (r["start"] + r["span"] <= n)
-        & F.contains(F.array_join(F.slice(squeezed, r["start"] + 1, r["span"]), ""), bare)
-        & F.contains(X.normalise_match(F.array_join(F.slice(raws, r["start"] + 1, r["span"]), " ")), needle)
-    )
-    return F.when((needle != "") & F.contains(F.array_join(squeezed, ""), bare), F.get(F.filter(runs, holds), F.lit(0)))
+    may = lambda r: (r["start"] + r["span"] <= n) & F.contains(F.array_join(F.slice(squeezed, r["start"] + 1, r["span"]), ""), bare)
+    holds = lambda r: F.when(may(r), F.contains(X.normalise_match(F.array_join(F.slice(raws, r["start"] + 1, r["span"]), " ")), needle)).otherwise(False)
+    return F.when((needle != "") & F.contains(F.array_join(squeezed, ""), bare), _first(runs, "struct<start:int,span:int>", holds))
 
 
 def expand(located: DataFrame, anchor: str = "anchor_text") -> DataFrame:
@@ -112,10 +118,10 @@ def expand(located: DataFrame, anchor: str = "anchor_text") -> DataFrame:
     )
     d = d.withColumn("__mine", F.when(F.col("pidx").isNotNull() & t.isNull(), F.filter(F.transform("items", lambda s, i: F.struct(i.alias("i"), s.alias("s"))), lambda x: x["s"]["pidx"] == F.col("pidx"))))
     d = d.withColumns({"__raws": F.transform("__mine", lambda x: x["s"]["raw"]), "__first": F.get("__mine", F.lit(0))["i"]})
-    d = d.withColumn("__bare", F.transform("__raws", lambda r: F.regexp_replace(X.normalise_match(r), r"\s", "")))
+    d = d.withColumn("__bare", F.transform("__raws", lambda r: _letters(F.when(F.contains(r, F.lit("](")), X.normalise_match(r)).otherwise(r))))
     raws, bare = F.col("__raws"), F.col("__bare")
     whole = _window(raws, bare, F.col("needle"))
-    retry = F.when(F.col("match_method") == "unique_fragment", F.get(F.filter(F.transform(fragments(F.col("needle"), F.array(*map(F.lit, FRAGMENTS))), lambda f: _window(raws, bare, f)), lambda w: w.isNotNull()), F.lit(0)))
+    retry = F.when(F.col("match_method") == "unique_fragment", F.aggregate(fragments(F.col("needle"), F.array(*map(F.lit, FRAGMENTS))), F.lit(None).cast("struct<start:int,span:int>"), lambda acc, f: F.coalesce(acc, _window(raws, bare, f))))
     d = d.withColumn("__span", whole).withColumn("__span", F.coalesce("__span", F.when(F.col("__raws").isNotNull(), retry)))
     block_first = F.get(F.filter("__mine", lambda x: x["s"]["bidx"] == F.col("bidx")), F.lit(0))["i"]
     start = F.coalesce(F.col("__first") + F.col("__span.start"), block_first)
