@@ -196,10 +196,13 @@ TITLE_NOTES = (r"(?iU)\bCite\s*this[:\s](?:DOI[:\s]*[0-9./]+)?", r"(?iU)\bDOI[:\
 
 def without_note(x: Column, pattern: str) -> Column:
     """A title line without the first note of a form: what stands on both sides of it, or the side that is long enough alone."""
-    parts = F.split(x, pattern, 2)
-    before, after = strip(F.get(parts, F.lit(0))), strip(F.get(parts, F.lit(1)))
-    n, m = F.length(before), F.length(after)
-    return F.when(F.size(parts) < 2, x).when((n > 10) & (m > 3), F.concat(before, F.lit(" "), after)).when(n > 15, before).when(m > 15, after).otherwise(x)
+
+    def rest(sides: Column) -> Column:
+        before, after = F.get(sides, F.lit(0)), F.get(sides, F.lit(1))
+        n, m = F.length(before), F.length(after)
+        return F.when(F.size(sides) < 2, x).when((n > 10) & (m > 3), F.concat(before, F.lit(" "), after)).when(n > 15, before).when(m > 15, after).otherwise(x)
+
+    return F.get(F.transform(F.array(F.transform(F.split(x, pattern, 2), strip)), rest), F.lit(0))
 
 
 def title(x: Column | str, stem: Column | str) -> Column:
@@ -207,14 +210,14 @@ def title(x: Column | str, stem: Column | str) -> Column:
     lines = F.split(c(x), "\n")
     bare = lambda line, n: unbold(F.regexp_replace(F.substring(line, F.lit(n), F.length(line)), "`(.*?)`", "$1"))
     h1 = F.filter(F.transform(F.filter(lines, lambda s: s.startswith("# ") & ~s.startswith("# #")), lambda s: bare(s, 3)), lambda t: (F.length(t) >= 15) & ~_holds_any(t, NO_TITLE))
-    first = F.get(h1, F.lit(0))
-    for note in TITLE_NOTES:
-        first = without_note(first, note)
-    first = F.regexp_replace(first, r"(?U)\s+[\*†§#‡]+\s*$", "")
-    first = F.regexp_replace(first, r"(?U)\s+[0-9]+-[0-9]+\s*$", "")
-    first = squeeze(F.regexp_replace(first, r"(?U)\s*\([12][0-9]{3}\)\s*$", ""))
+    # one element and not a value that is named again and again: each step is made once
+    first = F.slice(h1, 1, 1)
+    note, tail = (lambda p: lambda t: without_note(t, p)), (lambda p: lambda t: F.regexp_replace(t, p, ""))
+    for step in (*map(note, TITLE_NOTES), *map(tail, (r"(?U)\s+[\*†§#‡]+\s*$", r"(?U)\s+[0-9]+-[0-9]+\s*$", r"(?U)\s*\([12][0-9]{3}\)\s*$"))):
+        first = F.transform(first, step)
+    first = F.filter(F.transform(first, squeeze), lambda t: F.length(t) >= 10)
     h2 = F.filter(F.transform(F.filter(lines, lambda s: s.startswith("## ") & ~s.startswith("## #")), lambda s: squeeze(bare(s, 4))), lambda t: (F.length(t) >= 15) & ~_holds_any(t, SECTION_NAMES + NO_TITLE))
-    return F.coalesce(F.when(F.length(first) >= 10, first), F.get(h2, F.lit(0)), F.translate(c(stem), "_-", "  "))
+    return F.coalesce(F.get(first, F.lit(0)), F.get(h2, F.lit(0)), F.translate(c(stem), "_-", "  "))
 
 
 def doi_candidate(x: Column | str) -> Column:
