@@ -165,6 +165,42 @@ def n06_payloads(spark, d):
     return p.select("entry_id", F.coalesce(F.col("payload")["head_term"], F.col("payload")["name"], F.col("payload")["term"], F.col("payload")["metric"]).alias("main"))
 
 
+@query("n08_legacy_links", f"SELECT entry_id, CASE WHEN ord(right(entry_id, 1)) % 3 < 2 THEN head_entry_id END AS head, CASE WHEN ord(right(entry_id, 1)) % 3 > 0 THEN tail_entry_id END AS tail FROM {_L}")
+def n08_legacy_links(spark, d):
+    """Relations as documents of the present form, of the older one, and of both."""
+    k = F.pmod(F.ascii(F.right("entry_id", F.lit(1))), F.lit(3))
+    payload = F.struct(F.when(k == 0, F.col("head_entry_id")).alias("head_entry_id"), F.when(k > 0, F.col("tail_entry_id")).otherwise("").alias("tail_entry_id"))
+    json = F.to_json(F.struct(payload.alias("payload"), F.when(k == 1, F.col("head_entry_id")).alias("head"), F.when(k == 2, F.lit("other")).alias("tail")))
+    head, tail = N.legacy_links(json)
+    return _links(spark, d).select("entry_id", head.alias("head"), F.when(F.col("tail_entry_id").isNotNull() | (k < 2), tail).alias("tail"))
+
+
+@query("n05_reply_shapes", f"SELECT entry_id, pos, CASE k WHEN 0 THEN type WHEN 1 THEN 'concept' WHEN 2 THEN 'method' ELSE 'novelties' END AS type FROM (SELECT entry_id, type, ord(right(entry_id, 1)) % 5 AS k FROM {_E}) e, (VALUES (0), (1)) AS p(pos) WHERE k < 4 AND (pos = 0 OR k = 2)")
+def n05_reply_shapes(spark, d):
+    """The entries in replies of five shapes: an array with what is no item, plural lists beside other values and twice, a list of an unknown
+    name, and none."""
+    x, k = F.col("item"), F.pmod(F.ascii(F.right("entry_id", F.lit(1))), F.lit(5))
+    c = lambda *p: F.concat(*[F.lit(s) if s != "x" else x for s in p])
+    reply = F.when(k == 0, c('{"entries":[', "x", ',"no item",null]}')).when(k == 1, c('{"concepts":[', "x", '],"other":3}')).when(k == 2, c('{"entries":[],"methods":[', "x", ",", "x", "]}")).when(k == 3, c('{"novelties":[', "x", "]}")).otherwise("[]")
+    return N.unify_reply(_items(spark, d).select("doc_id", "entry_id", reply.alias("reply"))).select("entry_id", "pos", "type")
+
+
+@query("n06_flat_payloads", f"SELECT entry_id, k AS shape, CASE k WHEN 1 THEN 'quoted' WHEN 2 THEN 'own' WHEN 3 THEN 'whole' ELSE '' END AS anchor_text, CASE WHEN type = 'concept' AND k < 3 THEN coalesce(payload['term'], '') WHEN type = 'dataset' AND k < 3 THEN coalesce(payload['name'], '') END AS main, CAST(CASE k WHEN 0 THEN 1.0 WHEN 1 THEN 0.0 WHEN 2 THEN 0.5 WHEN 3 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS confidence FROM (SELECT *, ord(right(entry_id, 1)) % 5 AS k FROM {_E} WHERE type IN ('concept', 'dataset', 'claim')) WHERE k < 3 OR type = 'claim'")
+def n06_flat_payloads(spark, d):
+    """Items whose fields stand beside the type, with each fallback of the anchor and each form of a confidence."""
+    p, k = F.col("payload"), F.pmod(F.ascii(F.right("entry_id", F.lit(1))), F.lit(5))
+    some = lambda i, v: F.when(k == i, v)
+    item = F.to_json(
+        F.struct(
+            "type", p["term"].alias("term"), p["name"].alias("name"), some(1, F.struct(F.lit("quoted").alias("anchor_text"), F.lit("x").alias("original_text"))).alias("evidence"), some(2, F.lit("own")).alias("anchor_text"), some(3, F.lit("whole")).alias("original_text"),
+            F.when(k == 1, "low").when(k == 2, "0.5").when(k == 3, "7").when(k == 4, "-2").alias("confidence"),
+        )
+    )
+    rows = _entries(spark, d).where(F.col("type").isin("concept", "dataset", "claim")).where((k < 3) | (F.col("type") == "claim")).select("doc_id", "entry_id", F.col("type"), k.alias("shape"), item.alias("item"))
+    main = F.when((F.col("type") == "concept") & (F.col("shape") < 3), F.col("payload")["term"]).when((F.col("type") == "dataset") & (F.col("shape") < 3), F.col("payload")["name"])
+    return N.parse_items(rows).select("entry_id", "shape", "anchor_text", main.alias("main"), "confidence")
+
+
 @query("k01_assembled_entries")
 def k01_assembled_entries(spark, d):
     """The entries as raw items, assembled anew against the texts of their papers."""

@@ -317,23 +317,32 @@ def s03_zip_members(spark, d):
     return archives.members(docs.mapInArrow(pack, "archive string, content binary"), with_bytes=False).select("archive", "member", "sha256_96")
 
 
-@query("s10_converted", "SELECT source_key, length(text) + 17 AS char_count FROM documents WHERE text IS NOT NULL AND NOT contains(text, chr(12)) AND NOT regexp_matches(text, '(?i)\\n(?:#{1,2}\\s+)?\\*?\\*?\\s*(?:References?|Bibliography|参考文献|引用文献|Acknowledg(?:e?)ments?|Author\\s+Contributions?|Supplementary|Appendices|Data\\s+Availability)\\s*\\*?\\*?\\s*\\n|(?m)^\\s*[-–••*\\[]\\s*\\[?\\d{1,4}\\]?\\s|##\\s+\\*?\\*?Abstract')")
-def s10_converted(spark, d):
-    """The texts as files of one page through the converter; those without back matter, lists or abstract come out as they are. The identity
-    case of s10_converted_all, kept for its SQL."""
-    from paperloom.functions.text import BACK_MATTER, _NUMBERED
-    from paperloom.sources import documents
-
-    docs = table(spark, d, "documents").where("text IS NOT NULL").select("source_key", F.col("text").cast("binary").alias("content"), "text")
-    for p in (*BACK_MATTER, _NUMBERED, r"(?i)##\s+\*?\*?Abstract", "\f"):
-        docs = docs.where(~F.col("text").rlike(p))
-    return documents.convert(docs).select("source_key", "char_count")
-
-
-@query("s10_converted_all")
-def s10_converted_all(spark, d):
-    """All texts as files through the converter: pages split, back matter cut, abstracts put in order. No SQL: the tests compare it with Python."""
-    from paperloom.sources import documents
-
-    docs = table(spark, d, "documents").where("text IS NOT NULL").select("source_key", F.col("text").cast("binary").alias("content"))
-    return documents.convert(docs).select("source_key", "char_count", "converted_text_sha256_96")
+@query("a11_stage_totals", " UNION ALL ".join(f"SELECT '{x}' AS stage, count(*) FILTER ({x}_status = 'done') AS done, sum(coalesce({x}_prompt_tokens, 0))::BIGINT AS tokens_in, sum(coalesce({x}_completion_tokens, 0))::BIGINT AS tokens_out, CASE WHEN count(*) FILTER ({x}_status = 'done') > 0 THEN (sum(coalesce({x}_prompt_tokens, 0) + coalesce({x}_completion_tokens, 0)) // count(*) FILTER ({x}_status = 'done'))::BIGINT END AS tokens_a_paper FROM {duck.STATE}" for x in ("preprocess", "extract")))
+def a11_stage_totals(spark, d):
+    return S.stage_totals(_state(spark, d))
+
+
+@query("g15_set_failed_groups", _set("doc_id IS NOT NULL", extract_failed_groups="CASE WHEN retry_count > 0 THEN 'GA_study_design,GB_results_claims' END", extract_status="CASE WHEN retry_count > 0 THEN 'partial' ELSE extract_status END", updated_at=f"'{NOW}'"))
+def g15_set_failed_groups(spark, d):
+    """Two failed groups for papers that failed before, none for the others."""
+    groups = F.when(F.col("retry_count") > 0, F.array(F.lit("GB_results_claims"), F.lit("GA_study_design"), F.lit(""), F.lit("GB_results_claims")))
+    return S.set_failed_groups(_state(spark, d), F.col("doc_id").isNotNull(), groups, NOW).select(*SHOW)
+
+
+@query("k11_extraction_info", f"SELECT source_key, coalesce(extract_model, '') || '|' || coalesce(extract_at, '') || '|anchor_grouped||' || coalesce(nullif(array_to_string(string_split(extract_failed_groups, ','), '+'), ''), 'none') AS info FROM {duck.STATE} WHERE extract_at IS NOT NULL")
+def k11_extraction_info(spark, d):
+    from paperloom.operators.entries import extraction_info
+
+    i = extraction_info(F.col("extract_model"), F.col("extract_at"), F.lit(None).cast("string"), F.col("extract_failed_groups"))
+    out = _state(spark, d).where("extract_at IS NOT NULL").select("source_key", i.alias("i"))
+    part = lambda c: F.coalesce(F.col(c), F.lit(""))
+    told = F.concat_ws("|", part("i.extraction_model"), part("i.extraction_timestamp"), "i.extraction_method", F.coalesce(F.array_join("i.retry_groups", "+"), F.lit("")), F.coalesce(F.array_join("i.failed_groups", "+"), F.lit("none")))
+    return out.select("source_key", told.alias("info"))
+
+
+@query("a13_raw_replies", "SELECT source_key, count(*) AS raw_replies FROM (SELECT DISTINCT source_key, elapsed, char_count FROM convert_result) GROUP BY 1")
+def a13_raw_replies(spark, d):
+    """The recorded results of each paper, counted as its recorded replies are."""
+    from paperloom.plans.pipeline import raw_counts
+
+    return raw_counts(table(spark, d, "convert_result").select("source_key", "elapsed", "char_count").distinct())

@@ -12,7 +12,7 @@ from paperloom.operators import prompts as P
 from paperloom.operators import segments as G
 from paperloom.plans import duck
 from paperloom.plans.duck import norm, q, rx, section, sentences, squeeze, strip
-from paperloom.plans.registry import query
+from paperloom.plans.registry import ORACLES, query
 from paperloom.tables import materialise, spread, table
 
 
@@ -271,12 +271,6 @@ def k09_secondary_disciplines(spark, d):
     return v.select("doc_id", "s.level1", "s.level2", "s.level3").distinct()
 
 
-@query("k10_assembled")
-def k10_assembled(spark, d):
-    answers = M.current(table(spark, d, "metadata")).select(F.col("source_file").alias("source_key"), "title", "year", "doi", "keywords", "primary_discipline")
-    return M.assemble(answers, M.cascade(table(spark, d, "documents")))
-
-
 def _entry_anchors(spark: SparkSession, d: str) -> DataFrame:
     """The anchors of all entries: (source_key, doc_id, entry_id, type, anchor_text), a repeated delivery once. The key of an entry's paper is
     null where no metadata has it; such an anchor is not located and still counts."""
@@ -368,14 +362,14 @@ def _expanded(spark: SparkSession, d: str) -> DataFrame:
     return E.locate_and_expand(_entry_anchors(spark, d), _docs(spark, d).drop("doc_id"))
 
 
-def _expanded_sql() -> str:
+def _expanded_sql(anchors: str = _ENTRY_A) -> str:
     """E-4 and E-5 in DuckDB SQL, up to ``expanded``: every anchor with source_kind and original_text."""
     caption, cut = f"regexp_matches({{}}, {q(E.CAPTION)})", lambda x: strip(f"substr({x}, 1, {E.CAP})")
     lines = f"list_filter(list_transform(list_filter(string_split_regex(t.raw, '\\r\\n|\\n|\\r'), lambda l: {strip('l')} <> ''), lambda l: {strip('l')}), lambda l: regexp_matches(l, {q(X.TABLE_LINE)}))"
     rule = f"list_position(list_transform(lines, lambda l: regexp_matches(l, {q(E.SEPARATOR)})), true)"
     hits = f"list_filter(lines, lambda l: needle <> '' AND contains({norm('l')}, needle))"
     rows = "CASE WHEN len(hits) = 0 THEN lines ELSE list_concat(head, list_filter(hits, lambda l: NOT list_contains(head, l))) END"
-    return f"""{_located(_ENTRY_A)},
+    return f"""{_located(anchors)},
 flat AS MATERIALIZED (SELECT *, {_TABLES} AS is_table FROM blocks),
 items AS MATERIALIZED (SELECT * FROM {_ITEMS}),
 kind AS (SELECT l.*, b.is_table AS table_here, NOT b.is_table AND {caption.format('b.raw')} AND coalesce(n.is_table, false) AS caption_here
@@ -434,6 +428,50 @@ def _prompts_sql() -> str:
     return f"SELECT source_key, grp, CASE WHEN NOT tables THEN 'prefix' WHEN length(text) <= 100000 THEN 'full' ELSE 'front_10000_tail_90000' END AS view, length({ask} || CASE WHEN tables THEN {wide} ELSE {plain} END) AS chars FROM documents, {_groups_sql()} WHERE text IS NOT NULL AND grp IN ('GA_study_design', 'GB_results_claims')"
 
 
+_ADDED = ("\n\nTable 3. Means of ", "\n\n| h | k |\n|---|---|\n| a | ", " |\n| b | 2 |\n\nAfter the table. It goes on.\n\nFig 4 shows it.\n")
+_BUILT_DOCS = f"documents AS MATERIALIZED (SELECT doc_id, source_key, text || {_sql_text(_ADDED[0])} || doc_id || {_sql_text(_ADDED[1])} || doc_id || {_sql_text(_ADDED[2])} AS text FROM main.documents)"
+_BUILT_A = f"(SELECT *, {norm('anchor_text')} AS needle FROM (SELECT DISTINCT source_key, doc_id, CASE i WHEN 0 THEN '| a | ' || doc_id || ' |' WHEN 1 THEN 'Table 3. Means of ' || doc_id WHEN 2 THEN substr(text, 400, 130) WHEN 3 THEN '@@@@ ' || substr(text, 600, 200) WHEN 4 THEN 'After the table. It' ELSE 'Fig 4 shows' END AS anchor_text FROM documents, range(6) AS r(i) WHERE text IS NOT NULL))"
+
+
+@query("e05_expand_built", _expanded_sql(_BUILT_A).replace("WITH blocks", f"WITH {_BUILT_DOCS}, blocks", 1) + " SELECT doc_id, anchor_text, match_method, page, source_kind, original_text FROM expanded")
+def e05_expand_built(spark, d):
+    """Six anchors a paper, to which a captioned table is added: a line of the table, its caption, a stretch over sentences and blocks, one with a
+    wrong start, two after the table."""
+    n = F.col("doc_id").cast("string")
+    docs = _docs(spark, d).where("text IS NOT NULL").withColumn("text", F.concat("text", F.lit(_ADDED[0]), n, F.lit(_ADDED[1]), n, F.lit(_ADDED[2])))
+    forms = F.array(F.concat(F.lit("| a | "), n, F.lit(" |")), F.concat(F.lit("Table 3. Means of "), n), F.substring("text", 400, 130), F.concat(F.lit("@@@@ "), F.substring("text", 600, 200)), F.lit("After the table. It"), F.lit("Fig 4 shows"))
+    anchors = docs.select("source_key", "doc_id", F.explode(forms).alias("anchor_text")).distinct()
+    return E.locate_and_expand(anchors, docs.drop("doc_id")).select("doc_id", "anchor_text", "match_method", "page", "source_kind", "original_text")
+
+
+_FILES = "array_to_string(list_transform(string_split(text, chr(12)), lambda p, i: '<!-- PAGE ' || i || ' -->' || chr(10) || chr(10) || p), chr(10) || chr(10))"
+_PICTURES = rx("t", r"\*\*==> picture \[.*?\] intentionally omitted <==\*\*\n?", "")
+
+
+@query("s10_converted", f"SELECT source_key, length(t) AS char_count, substr(sha256(t), 1, 24) AS converted_text_sha256_96 FROM (SELECT source_key, {_abstract_order('t')} AS t FROM (SELECT source_key, {_back_matter('t')} AS t FROM (SELECT source_key, {_PICTURES} AS t FROM (SELECT source_key, {_FILES} AS t FROM documents WHERE text IS NOT NULL))))")
+def s10_converted(spark, d):
+    """All texts as files through the converter: pages split, back matter cut, abstracts put in order."""
+    from paperloom.sources import documents
+
+    docs = spread(table(spark, d, "documents")).where("text IS NOT NULL").select("source_key", F.col("text").cast("binary").alias("content"))
+    return documents.convert(docs).select("source_key", "char_count", "converted_text_sha256_96")
+
+
+_K10_READ = " JOIN ".join(f"({ORACLES[n]}) {n[:3]}" + (" USING (doc_id)" if n != "t18_abstract" else "") for n in ("t18_abstract", "t19_introduction"))
+
+
+@query(
+    "k10_assembled",
+    f"WITH read AS (SELECT d.source_key, r.abstract, r.introduction, {section('d.text', 'Keywords')} AS kw FROM documents d JOIN (SELECT doc_id, abstract, introduction FROM {_K10_READ}) r ON d.doc_id = r.doc_id), own AS (SELECT *, list_filter(list_transform(string_split_regex({strip(rx('kw', chr(92) + '*' + chr(92) + '*(.*?)' + chr(92) + '*' + chr(92) + '*', chr(92) + '1'))}, '[;,]'), lambda s: {strip('s')}), lambda s: s <> '') AS own FROM read), "
+    f"answers AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY coalesce(extraction_info.extraction_timestamp, '') DESC) AS rn FROM metadata) WHERE rn = 1) "
+    f"SELECT a.source_file AS source_key, a.title, a.year, CASE WHEN starts_with(x, '10.') THEN x END AS doi, array_to_string(CASE WHEN len(o.own) > 0 THEN o.own ELSE coalesce(a.keywords, []) END, '|') AS keywords, a.primary_discipline.level1 AS level1, o.abstract, o.introduction FROM (SELECT *, rtrim(regexp_replace({strip('doi')}, '(?i)^(?:https?://(?:dx\\.)?doi\\.org/|doi:\\s*)', ''), '.,;)') AS x FROM answers) a JOIN own o ON a.source_file = o.source_key WHERE {strip(chr(99) + 'oalesce(a.title, ' + chr(39) + chr(39) + ')')} <> ''",
+)
+def k10_assembled(spark, d):
+    answers = M.current(table(spark, d, "metadata")).select(F.col("source_file").alias("source_key"), "title", "year", "doi", "keywords", "primary_discipline")
+    out = M.assemble(answers, M.cascade(table(spark, d, "documents")))
+    return out.select("source_key", "title", "year", "doi", F.array_join("keywords", "|").alias("keywords"), F.col("primary_discipline.level1").alias("level1"), "abstract", "introduction")
+
+
 @query("q03_group_prompts", _prompts_sql())
 def q03_group_prompts(spark, d):
     p = P.group_prompts(_docs(spark, d).drop("doc_id").where("text IS NOT NULL"), P.group_table(spark))

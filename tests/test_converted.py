@@ -50,7 +50,7 @@ def test_texts_that_change(spark, tmp_path):
     ]
     rows = [(i, str(i), t) for i, t in enumerate([*texts, None])]
     spark.createDataFrame(rows, "doc_id long, source_key string, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {int(r.source_key): (r.char_count, r.converted_text_sha256_96) for r in registry.QUERIES["s10_converted_all"](spark, str(tmp_path)).collect()}
+    got = {int(r.source_key): (r.char_count, r.converted_text_sha256_96) for r in registry.QUERIES["s10_converted"](spark, str(tmp_path)).collect()}
     assert sorted(got) == list(range(len(texts)))
     assert {i: (texts[i], got[i], wanted(t)) for i, t in enumerate(texts) if got[i] != wanted(t)} == {}
 
@@ -61,6 +61,6 @@ DATA = os.environ.get("CONVERTED_DATA", "/root/testdata/sf0.001")
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
 def test_all_texts_of_the_tables(spark):
     texts = {r.source_key: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").where("text IS NOT NULL").collect()}
-    got = {r.source_key: (r.char_count, r.converted_text_sha256_96) for r in registry.QUERIES["s10_converted_all"](spark, DATA).collect()}
+    got = {r.source_key: (r.char_count, r.converted_text_sha256_96) for r in registry.QUERIES["s10_converted"](spark, DATA).collect()}
     assert set(got) == set(texts)
     assert [k for k, t in texts.items() if got[k] != wanted(t)] == []
