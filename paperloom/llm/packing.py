@@ -226,10 +226,11 @@ def pack(items: DataFrame, specs: DataFrame, id_col: str = "doc_id", size_col: s
     if any(c > MAX_CAPACITY for _, c in wanted):
         raise ValueError(f"a capacity exceeds {MAX_CAPACITY}")
     spec_type = specs.schema["spec_id"].dataType
-    wanted_df = spark.createDataFrame(wanted, T.StructType([T.StructField("spec_id", spec_type), T.StructField("__cap", T.LongType())]))
+    pair = F.struct(F.lit(None).cast(spec_type).alias("spec_id"), F.lit(None).cast("long").alias("__cap"))
+    each_spec = F.array(*[F.struct(F.lit(s).cast(spec_type).alias("spec_id"), F.lit(c).cast("long").alias("__cap")) for s, c in wanted]) if wanted else F.slice(F.array(pair), 1, 0)
 
     # one row a part; only the rest of an item needs a place
-    parts = items.crossJoin(wanted_df).select("spec_id", "__cap", "__id", "__block", "__size", (F.col("__size") % F.col("__cap")).alias("__rest"), F.floor(F.col("__size") / F.col("__cap")).alias("__full"))
+    parts = items.select("*", F.explode(each_spec).alias("__spec")).select("*", "__spec.spec_id", "__spec.__cap").select("spec_id", "__cap", "__id", "__block", "__size", (F.col("__size") % F.col("__cap")).alias("__rest"), F.floor(F.col("__size") / F.col("__cap")).alias("__full"))
     counts = parts.groupBy("spec_id", "__cap", "__rest", "__block").agg(F.count("*").alias("n"), F.sum("__full").alias("full"))
     by_block = Window.partitionBy("spec_id", "__rest").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select(
