@@ -37,8 +37,8 @@ MIN_COPIES = 2
 _CJK = re.compile(r"[぀-ヿ㐀-鿿]")
 #: Abbreviations that demand a continuation.
 _ABBREVIATIONS = ("i.e.", "e.g.", "et al.", "Fig.", "Figs.", "vs.", "cf.", "z.B.", "d.h.", "vgl.", "p.ex.", "p. ex.", "т.е.", "см.")
-_AFTER_ABBREVIATION = "".join(rf"(?<!\b{re.escape(a)})" for a in _ABBREVIATIONS)
-_SENTENCE = re.compile(rf"(?<=[.!?]){_AFTER_ABBREVIATION}\s+|(?<=[。！？])\s*")
+_ABBREVIATED = re.compile(r"\b(?:" + "|".join(map(re.escape, _ABBREVIATIONS)) + r")\Z")
+_STOP = re.compile(r"[.!?]\s+|[。！？]\s*")
 _PARAGRAPH = re.compile(r"\n\s*\n")
 _DIGITS = re.compile(r"\d+")
 _WRAPPED = re.compile(r"[-‐¬\u00ad]\n\s*")
@@ -46,6 +46,7 @@ _CLOSERS = re.compile(r"[\"”»’'）」』)\]】]+$")
 _MARK = re.compile(r"(?:\s*(?:\.\.\.|…|\[\.\.\.\]|\[…\]|[(\[（](?:continued|cont\.?|to be continued|more|未完|待续|续|suite|Fortsetzung|continúa|continua|continuação|продолжение)[)\]）]?))+$", re.I)
 _END_TAGS = re.compile(r"(?:\s*</?\w[^<>]*>|\s*\\end\{\w+\*?\})+$")
 _SIGNS = re.compile(r"\\(?:begin|end)\{[a-z]+\*?\}|<[^<>]*>|\]\([^()\s]*\)|\\[a-zA-Z]+\*?\{?|''+|[*_`~{}\[\]$]+")
+_SPECIAL = re.compile(r"[\\<\]'*_`~{}\[$]")
 _FURNITURE = re.compile(r"(?:\s*<!--[^<>]*-->)+\s*$")
 _LEAD = " \t-+•/>#'\"“«0.)"
 _POINT = re.compile(r"0\.$")
@@ -56,12 +57,20 @@ _OPENERS, _SHUTTERS = "(（[【「", ")）]】」"
 def sentences(text: str) -> list[str]:
     """The sentences of a text with digits masked, markup signs and page numbers left out and wrapped lines joined."""
     out: list[str] = []
-    for p in _PARAGRAPH.split(_DIGITS.sub("0", _SIGNS.sub("", text))):
+    for p in _PARAGRAPH.split(_DIGITS.sub("0", text)):
+        if _SPECIAL.search(p):
+            p = _SIGNS.sub("", p)
         if "\n" in p:
             p = " ".join(x for x in _WRAPPED.sub("", p).split("\n") if len(x) > 24 or not _NUMBER.fullmatch(x.strip()))
         p = " ".join(p.split())
-        if p:
-            out += [s for s in _SENTENCE.split(p) if s]
+        at = 0
+        for m in _STOP.finditer(p):
+            stop = m.start() + 1
+            if not (p.endswith(_ABBREVIATIONS, 0, stop) and _ABBREVIATED.search(p[max(0, stop - 12) : stop])):
+                out.append(p[at:stop])
+                at = m.end()
+        if at < len(p):
+            out.append(p[at:])
     return out
 
 
