@@ -181,6 +181,7 @@ def _p5_assigned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     said = F.array_compact(F.concat(F.array("primary_discipline.level1"), F.coalesce(F.transform("secondary_disciplines", lambda d: d["level1"]), F.array().cast("array<string>"))))
     papers = meta.select("doc_id", "keywords", "abstract", F.array_distinct(said).alias("said"), F.col("extraction_info.extraction_timestamp").alias("at"))
     papers = papers.groupBy("doc_id").agg(F.max_by(F.struct("keywords", "abstract", "said"), F.coalesce("at", F.lit(""))).alias("p")).select("doc_id", "p.*")
+    papers = materialise(papers, "papers")  # read by the terms, the texts, the thresholds and the result
     areas = [r[0] for r in refs.where("field_name = 'level1'").select("canon").distinct().collect()]  # the fixed list of areas
     stated = papers.select("doc_id", "keywords", F.array_intersect("said", F.array(*map(F.lit, areas)).cast("array<string>")).alias("areas"))
     terms = materialise(subjects.weighted_terms(stated, refs), "terms")
