@@ -9,10 +9,11 @@ from paperloom.functions import text as X
 
 #: K-9, fixed values: the closed list of first-level disciplines.
 LEVEL1 = (
-    "数学 信息科学与系统科学 力学 物理学 化学 天文学 地球科学 生物学 农学 林学 畜牧、兽医科学 水产学 基础医学 临床医学 预防医学与卫生学 军事医学与特种医学 药学 中医学与中药学 工程与技术科学基础学科 测绘科学技术 "
-    "材料科学 矿山工程技术 冶金工程技术 机械工程 动力与电气工程 能源科学技术 核科学技术 电子、通信与自动控制技术 计算机科学技术 化学工程 纺织科学技术 食品科学技术 土木建筑工程 水利工程 交通运输工程 航空、航天科学技术 "
-    "环境科学技术 安全科学技术 管理学 经济学 政治学 法学 军事学 社会学 民族学 新闻学与传播学 图书馆、情报与文献学 教育学 体育科学 统计学"
-).split(" ")
+    "数学", "信息科学与系统科学", "力学", "物理学", "化学", "天文学", "地球科学", "生物学", "农学", "林学", "畜牧、兽医科学", "水产学", "基础医学", "临床医学", "预防医学与卫生学", "军事医学与特种医学", "药学",
+    "中医学与中药学", "工程与技术科学基础学科", "测绘科学技术", "材料科学", "矿山工程技术", "冶金工程技术", "机械工程", "动力与电气工程", "能源科学技术", "核科学技术", "电子、通信与自动控制技术", "计算机科学技术", "化学工程",
+    "纺织科学技术", "食品科学技术", "土木建筑工程", "水利工程", "交通运输工程", "航空、航天科学技术", "环境科学技术", "安全科学技术", "管理学", "经济学", "政治学", "法学", "军事学", "社会学", "民族学",
+    "新闻学与传播学", "图书馆、情报与文献学", "教育学", "体育科学", "统计学",
+)
 
 
 def cascade(docs: DataFrame, key: str = "source_key", text: str = "text") -> DataFrame:

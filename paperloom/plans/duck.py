@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from paperloom.functions.text import ABBREVIATIONS
+
 WS = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]"
 PAGE = r"(?m)^<!--\s*PAGE\s+(\d+)\s*-->\s*$"
 
@@ -61,7 +63,7 @@ def sentences(x: str) -> str:
     dot = "chr(57344)"
     x = squeeze(x)
     out = x
-    for a in ("e.g", "i.e", "et al", "fig", "figs", "eq", "eqs", "sec", "secs", "tab", "table", "no", "vs", "dr", "prof"):
+    for a in ABBREVIATIONS:
         words = a.replace(" ", r"\s+").split(".")
         pattern = r"(?i)\b(" + r")\.(".join(words) + r")\."
         to = " || ".join(f"'\\{i + 1}' || {dot}" for i in range(len(words)))
