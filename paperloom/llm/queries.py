@@ -234,8 +234,12 @@ def p2_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entered.join(mapped.select("field_name", "value"), ["field_name", "value"], "left_semi").groupBy("field_name", "value").agg(F.countDistinct("record_id").alias("records"))
 
 
-def _p2_oracle() -> str:
-    """DuckDB SQL of p2_found: the same forms, every pair of value and entry compared instead of the pigeonhole join."""
+_P2_FOUND = "SELECT DISTINCT e.record_id, e.field_name, CAST(e.pos AS INTEGER) AS pos, coalesce(f.ref_id, 'NONE') AS ref_id FROM entered e LEFT JOIN found f ON e.field_name = f.field_name AND e.value = f.value"
+_P2_UNMATCHED = "SELECT e.field_name, e.value, count(DISTINCT e.record_id) AS records FROM entered e ANTI JOIN found f ON e.field_name = f.field_name AND e.value = f.value GROUP BY 1, 2"
+
+
+def _p2_oracle(result: str) -> str:
+    """DuckDB SQL of p2_found and p2_unmatched: the same forms, every pair of value and entry compared instead of the pigeonhole join."""
     c = canonical
     esc = lambda s: s.replace("'", "''")
     plain = lambda x: f"trim(regexp_replace(translate(lower({x}), '{c.TRADITIONAL}{c.LOOKALIKE}', '{c.SIMPLIFIED}{c.MEANT}'), '[\\s\\p{{Z}}\\x{{0B}}\\x{{85}}]+', ' ', 'g'))"
@@ -282,7 +286,8 @@ near AS (
   WHERE edits <= k OR (k > 0 AND edits = 2 AND length(form) = length(rform) AND list_sort(string_split(form, '')) = list_sort(string_split(rform, '')))
   GROUP BY 1, 2),
 found AS (SELECT * FROM done UNION ALL SELECT * FROM near)
-SELECT DISTINCT e.record_id, e.field_name, CAST(e.pos AS INTEGER) AS pos, coalesce(f.ref_id, 'NONE') AS ref_id FROM entered e LEFT JOIN found f ON e.field_name = f.field_name AND e.value = f.value"""
+{result}"""
 
 
-ORACLES["p2_found"] = _p2_oracle()
+ORACLES["p2_found"] = _p2_oracle(_P2_FOUND)
+ORACLES["p2_unmatched"] = _p2_oracle(_P2_UNMATCHED)
