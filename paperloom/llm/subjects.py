@@ -4,9 +4,9 @@ Method. Weighted subject terms are matched with a multi-pattern automaton (pyaho
 reference list, each counting for its area, and the keywords of the corpus whose papers state one area far more often than any
 other; the weight of a term is that share times its rarity (the logarithm of papers over papers with the term). An area has the weight of its
 terms as a share of that of all terms, and the number of sentences with its terms as a share of all sentences of the text, so both are
-normalised by length. Every area that exceeds both of its thresholds is assigned. The thresholds are calibrated for each area on papers
-that state it (at most :data:`SAMPLE` each): half of what all but two in a hundred of them reach. One remark is no topic: beside
-another area an area needs two sentences.
+normalised by length. Every area that exceeds both of its thresholds is assigned. The thresholds are calibrated for each area on all
+papers that state it: half of what all but two in a hundred of them reach. One remark is no topic: beside another area an area needs
+two sentences.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ MIN_PAPERS = 2
 MIN_TERM_SHARE = 0.6
 #: Sentences that an area needs, unless it is the only one.
 MIN_SENTENCES = 2
-#: Papers of an area, at most, on which its thresholds are calibrated, and how many it takes not to use those of all areas.
-SAMPLE = 400
+#: Papers that state an area that it takes not to use the thresholds of all areas.
 ENOUGH = 30
+#: Steps in which values from 0 to 1 are counted before those of one step are put in order.
+STEPS = 4096
 #: Terms of one automaton; more are matched in several passes over the texts.
 MAX_TERMS = 300_000
 
@@ -197,17 +198,42 @@ def measure(texts: DataFrame, terms: DataFrame) -> DataFrame:
     return whole.select("doc_id", "n", "spans").mapInArrow(join, _SCHEMA)
 
 
-def thresholds(measured: DataFrame, stated: DataFrame) -> dict[str, tuple[float, float]]:
-    """(share, rate) that each area has to exceed, "" for an area without enough papers; ``stated``: doc_id, areas. Calibrated on at most
-    :data:`SAMPLE` papers an area in which it is stated and no mere remark; one row an area reaches the driver."""
+def percentiles(values: DataFrame, part: float) -> DataFrame:
+    """(area, kind, n, low): how many values each area has, "" for all areas together, and their exact percentile, as ``F.percentile``
+    gives it. ``values``: area, kind, value from 0 to 1.
+
+    Equal values are one row with their count. Counts by step tell which steps hold the percentile (one, or the two that it lies
+    between), and only the values of those are put in order. A task orders all distinct values of an area, in a sort that can spill,
+    only where they lie within one step.
+    """
     from pyspark.sql.window import Window
 
+    from paperloom.tables import materialise
+
+    counts = materialise(values.groupBy("area", "kind", "value").agg(F.count("*").alias("m")), "subject_values")
+    each = counts.select(F.explode(F.array("area", F.lit(""))).alias("area"), "kind", "value", "m", F.floor(F.col("value") * STEPS).alias("step"))
+    so_far = lambda w: F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    at = (F.col("n") - 1) * F.lit(part)
+    first, last = F.floor(at), F.ceil(at)  # the places, from 0, that the percentile lies between
+    own = Window.partitionBy("area", "kind")
+    steps = each.groupBy("area", "kind", "step").agg(F.sum("m").alias("m")).select("*", so_far(own.orderBy("step")).alias("upto"), F.sum("m").over(own).alias("n"))
+    near = steps.withColumn("before", F.col("upto") - F.col("m")).where((F.col("before") <= last) & (F.col("upto") > first)).select("area", "kind", "step", "n", "before")
+    near = each.join(F.broadcast(near), ["area", "kind", "step"]).groupBy("area", "kind", "step", "n", "before", "value").agg(F.sum("m").alias("m"))
+    near = near.withColumn("upto", F.col("before") + so_far(Window.partitionBy("area", "kind", "step").orderBy("value")))
+    value_at = lambda k: F.max(F.when((F.col("upto") - F.col("m") <= k) & (F.col("upto") > k), F.col("value")))
+    ends = near.groupBy("area", "kind", "n").agg(value_at(first).alias("a"), value_at(last).alias("b"))
+    return ends.select("area", "kind", "n", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise((last - at) * F.col("a") + (at - first) * F.col("b")).alias("low"))
+
+
+def thresholds(measured: DataFrame, stated: DataFrame) -> dict[str, tuple[float, float]]:
+    """(share, rate) that each area has to exceed, "" for an area without enough papers; ``stated``: doc_id, areas. Calibrated on all
+    papers in which an area is stated and no mere remark; two rows an area reach the driver."""
     own = measured.join(stated.select("doc_id", F.explode("areas").alias("area")).distinct(), ["doc_id", "area"]).where((F.col("said") >= MIN_SENTENCES) | (F.col("areas") == 1))
-    order = Window.partitionBy("area").orderBy(F.xxhash64("doc_id"), "doc_id")
-    own = own.withColumn("k", F.row_number().over(order)).where(F.col("k") <= SAMPLE)
-    low = [(F.percentile(c, F.lit(0.02)) / 2).alias(c) for c in ("share", "rate")]
-    rows = own.groupBy("area").agg(F.count("*").alias("n"), *low).where(F.col("n") >= ENOUGH).collect() + own.agg(F.lit("").alias("area"), F.count("*").alias("n"), *low).collect()
-    return {r["area"]: (r["share"] or 0.0, r["rate"] or 0.0) for r in rows}
+    kinds = F.explode(F.array(*(F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in ("share", "rate")))).alias("x")
+    least: dict[str, dict[str, float]] = {"": {"share": 0.0, "rate": 0.0}}
+    for r in percentiles(own.select("area", kinds).select("area", "x.*"), 0.02).where((F.col("n") >= ENOUGH) | (F.col("area") == "")).collect():
+        least.setdefault(r["area"], {})[r["kind"]] = r["low"] / 2
+    return {a: (v["share"], v["rate"]) for a, v in least.items()}
 
 
 def assign(measured: DataFrame, least: dict[str, tuple[float, float]]) -> DataFrame:

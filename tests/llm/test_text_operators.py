@@ -249,6 +249,18 @@ def test_thresholds_are_calibrated(spark):
     assert subjects.thresholds(measured.limit(0), stated) == {"": (0.0, 0.0)}
 
 
+def test_thresholds_come_from_all_papers(spark):
+    rand = random.Random(5)
+    rows = [(f"a{i}", "bio", rand.random(), rand.randint(1, 9) / 9, 2, 2) for i in range(3000)]
+    rows += [(f"b{i}", "law", 0.5 + i / 1e7, 0.25, 2, 2) for i in range(1000)]  # all within one step
+    rows += [(f"c{i}", "econ", 0.1 if i < 10 else 0.9, 0.1 if i < 11 else 0.7, 2, 2) for i in range(500)]  # a place between two steps
+    measured = spark.createDataFrame(rows, subjects._SCHEMA)
+    stated = spark.createDataFrame([(r[0], [r[1]]) for r in rows], "doc_id string, areas array<string>")
+    low = [(F.percentile(c, F.lit(0.02)) / 2).alias(c) for c in ("share", "rate")]
+    exact = {r.area: (r.share, r.rate) for r in measured.groupBy("area").agg(*low).collect() + measured.agg(F.lit("").alias("area"), *low).collect()}
+    assert subjects.thresholds(measured, stated) == exact and exact["econ"][0] == pytest.approx(0.442)
+
+
 def test_terms_are_mined_by_share(spark):
     refs = spark.createDataFrame([("1", "level1", "法学", "Law", None), ("2", "level2", "知识产权法", "Intellectual property law", "1"), ("3", "level3", "专利侵权", "Patent infringement", "2")], "ref_id string, field_name string, canon string, canon_alt string, parent_id string")
     papers = spark.createDataFrame([(str(i), ["The Tort liability", "data"], ["法学"]) for i in range(5)] + [(f"x{i}", ["data", None], ["数学"]) for i in range(5)] + [("n", None, [])], "doc_id string, keywords array<string>, areas array<string>")
