@@ -20,19 +20,35 @@ ABBREVIATIONS = ("e.g", "i.e", "et al", "fig", "figs", "eq", "eqs", "sec", "secs
 
 _SYMBOL = "A-Za-zͰ-Ͽ\\x{1d400}-\\x{1d7ff}"
 
+#: All Unicode white space and the separators U+001C to U+001F, which the data's producers count as such.
+SPACES = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
 
 def c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(x: Column, *steps) -> Column:
+    """``x`` through the steps one after the other; each may name its argument several times, which is computed once."""
+    x = F.array(x)
+    for step in steps:
+        x = F.transform(x, step)
+    return F.get(x, F.lit(0))
+
+
 def strip(x: Column | str) -> Column:
     """Without white space at both ends (all Unicode white space, not spaces only)."""
-    return F.regexp_replace(c(x), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.btrim(c(x), F.lit(SPACES))
 
 
 def squeeze(x: Column | str) -> Column:
     """Runs of white space as one space, none at the ends."""
-    return strip(F.regexp_replace(c(x), r"(?U)[\s\x1c-\x1f]+", " "))
+    high = lambda x: (F.octet_length(x) > F.length(x)) & x.rlike("[\u1680-\u3000]")  # noqa: E731  (all that is beyond U+00A0 lies there)
+    return let(
+        c(x),
+        lambda x: F.when(high(x), F.regexp_replace(x, r"(?U)[\s\x1c-\x1f]", " ")).otherwise(F.regexp_replace(x, r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0]", " ")),
+        lambda x: F.trim(F.when(x.contains("  "), F.regexp_replace(x, "  +", " ")).otherwise(x)),
+    )
 
 
 def drop_pictures(x: Column | str) -> Column:
@@ -98,33 +114,50 @@ def front_tail(x: Column | str, budget: int, front: int = 10000) -> tuple[Column
 
 
 def normalise_match(x: Column | str) -> Column:
-    """T-7: a text with typographic differences removed, for literal matching of quotations."""
+    """T-7: a text with typographic differences removed, for literal matching of quotations.
+
+    Most texts lack most of what the rules are about, so a rule's sign is looked for before its pattern is tried. The patterns begin with
+    that sign and look back from it, or take in what stands before it: no look-back is tried at every character.
+    """
     r = F.regexp_replace
-    x = F.translate(F.translate(c(x), "\u00ad", ""), "\u00a0\u2019\u2018\u201c\u201d\u2010\u2011\u2013", " ''\"\"---")
-    x = r(x, r"\[([^\]]+)\]\([^)]+\)", "$1")
-    x = r(x, r"\[([(){}Ͱ-Ͽ\x{1d400}-\x{1d7ff}]+)\]", "$1")
-    x = r(x, r"[*_`]", "")
-    x = r(x, rf"([{_SYMBOL}])\[(\d+)\]", "$1$2")
-    x = r(x, rf"([{_SYMBOL}])\^(\d+)", "$1$2")
-    x = r(x, r"(?U)(?<=\d)\s*-\s*(?=[A-Za-z])", "-")
-    x = r(x, r"(?U)(?<=\w)-\s*\n\s*(?=\w)", "")
-    x = r(x, r"(?<=[A-Za-z])-(?=[A-Za-z])", "")
-    x = squeeze(x)
-    x = r(x, r"([\(\[\{])\s+", "$1")
-    x = r(x, r"\s+([,.;:!?%)\]}，。；：！？])", "$1")
-    return r(x, r"(?<=\))\s+(?=\()", "")
+    apart = "\u00a0\u2019\u2018\u201c\u201d\u2010\u2011\u2013\u00ad"  # the last has no counterpart and is left out
+    hyphens = (
+        lambda x: F.when(x.rlike(r"(?U)-(?<![A-Za-z]-)\s*[A-Za-z]"), r(x, r"(?U)(\d)\s*-\s*(?=[A-Za-z])", "$1-")).otherwise(x),
+        lambda x: F.when(x.contains("\n") & x.rlike(r"(?U)-\s*\n"), r(x, r"(?U)(\w)-\s*\n\s*(?=\w)", "$1")).otherwise(x),
+        lambda x: r(x, r"-(?<=[A-Za-z]-)(?=[A-Za-z])", ""),
+    )
+    return let(
+        c(x),
+        lambda x: F.when((F.octet_length(x) > F.length(x)) & x.rlike("[\u00a0\u00ad\u2010-\u201d]"), F.translate(x, apart, " ''\"\"---")).otherwise(x),
+        lambda x: F.when(x.contains("]("), r(x, r"\[([^\]]+)\]\([^)]+\)", "$1")).otherwise(x),
+        lambda x: F.when(x.contains("["), r(x, r"\[([(){}Ͱ-Ͽ\x{1d400}-\x{1d7ff}]+)\]", "$1")).otherwise(x),
+        lambda x: F.when(x.contains("*") | x.contains("_") | x.contains("`"), r(x, r"[*_`]+", "")).otherwise(x),
+        lambda x: F.when(x.contains("["), r(x, rf"([{_SYMBOL}])\[(\d+)\]", "$1$2")).otherwise(x),
+        lambda x: F.when(x.contains("^"), r(x, rf"([{_SYMBOL}])\^(\d+)", "$1$2")).otherwise(x),
+        lambda x: F.when(x.contains("-"), let(x, *hyphens)).otherwise(x),
+        squeeze,
+        # only single spaces are left: those behind an opening bracket, before a closing sign and between brackets go
+        lambda x: r(x, r" (?:(?<=[(\[{] )|(?!\w)(?:(?=[,.;:!?%)\]}，。；：！？])|(?<=\) )(?=\()))", ""),
+    )
+
+
+def bare(x: Column | str) -> Column:
+    """A squeezed text without anything that T-7 takes out, puts in or changes, save links: equal for a text and its normal form, and that
+    of a part is part of that of the whole. Line feeds stay."""
+    return let(c(x), lambda x: F.regexp_replace(x, r"[ '\"*_`^\[\]\xad-]+", ""), lambda x: F.when(x.rlike("[\u2010-\u201d]"), F.regexp_replace(x, "[\u2010\u2011\u2013\u2018\u2019\u201c\u201d]+", "")).otherwise(x))
 
 
 def is_table(block: Column | str) -> Column:
     """P-11: whether a block has at least two table lines."""
-    return F.size(F.filter(F.split(c(block), r"\R"), lambda line: line.rlike(TABLE_LINE))) >= 2
+    return c(block).contains("|") & (F.size(F.filter(F.split(c(block), r"\R"), lambda line: line.rlike(TABLE_LINE))) >= 2)
 
 
 def pages(x: Column | str) -> Column:
     """T-8: array of (pidx, page, raw) of the pages that markers begin; text before the first marker is ignored."""
     x = c(x)
-    numbers = F.regexp_extract_all(x, F.lit(PAGE_MARKER), F.lit(1))
-    bodies = F.slice(F.split(x, PAGE_MARKER), 2, F.greatest(F.size(numbers), F.lit(1)))
+    marker = PAGE_MARKER.replace("^<!--", "<!--(?<=^<!--)")  # the same, and its sign is looked for before the line's start is
+    numbers = F.regexp_extract_all(x, F.lit(marker), F.lit(1))
+    bodies = F.slice(F.split(x, marker), 2, F.greatest(F.size(numbers), F.lit(1)))
     return F.when(
         F.size(numbers) > 0,
         F.transform(F.arrays_zip(numbers.alias("n"), bodies.alias("b")), lambda p, i: F.struct(i.alias("pidx"), p["n"].cast("int").alias("page"), strip(p["b"]).alias("raw"))),
@@ -133,23 +166,28 @@ def pages(x: Column | str) -> Column:
 
 def blocks(x: Column | str) -> Column:
     """T-9: array of (raw, norm) of the blocks between blank lines that are not empty once normalised."""
-    parts = F.transform(F.split(c(x), r"(?U)\n\s*\n+"), lambda b: F.struct(strip(b).alias("raw"), normalise_match(strip(b)).alias("norm")))
+    parts = F.transform(F.transform(F.split(c(x), r"(?U)\n\s*\n+"), strip), lambda b: F.struct(b.alias("raw"), normalise_match(b).alias("norm")))
     return F.filter(parts, lambda b: b["norm"] != "")
 
 
 def sentences(x: Column | str) -> Column:
     """T-10: the sentences of a text; periods of abbreviations, initials and decimals end none."""
-    x = squeeze(x)
     dot = "\ue000"
-    for a in ABBREVIATIONS:
-        words = a.replace(" ", r"(?U:\s+)").split(".")
-        pattern = r"(?i)\b(" + ")\\.(".join(words) + r")\."
-        x = F.regexp_replace(x, pattern, "".join(f"${i + 1}{dot}" for i in range(len(words))))
-    x = F.regexp_replace(x, r"\b([A-Za-z])\.(?=[A-Za-z]\.)", f"$1{dot}")
-    x = F.regexp_replace(x, rf"(?<={dot})([A-Za-z])\.", f"$1{dot}")
-    x = F.regexp_replace(x, r"(?U)(?<=\d)\.(?=\d)", dot)
-    parts = F.split(x, r"(?<=[.!?。！？])\s+")
-    return F.filter(F.transform(parts, lambda s: strip(F.translate(s, dot, "."))), lambda s: s != "")
+    r = F.regexp_replace
+    # every pattern begins with the period and looks back from it; squeezed, a text has single spaces only and no line feed
+    pairs, single = [a.split(".") for a in ABBREVIATIONS if "." in a], [a for a in ABBREVIATIONS if "." not in a]
+
+    def pair(first: str, second: str):
+        return lambda x: F.when(x.contains(f".{second}.") | x.contains(f".{second.upper()}."), r(x, rf"(?i)\.(?<=\b{first}\.)({second})\.", f"{dot}$1{dot}")).otherwise(x)
+
+    lines = let(
+        squeeze(x), *[pair(*p) for p in pairs],
+        lambda x: r(x, rf"\.(?:(?<=(?U:\d)\.)(?=(?U:\d))|(?<=\b[A-Za-z]\.)(?=[A-Za-z]\.)|(?<=\b(?i:{'|'.join(single)})\.))", dot),
+        lambda x: F.when(x.contains(dot), r(x, rf"\.(?<={dot}[A-Za-z]\.)", dot)).otherwise(x),
+        lambda x: r(x, r" (?<=[.!?。！？] )", "\n"),
+        lambda x: F.when(x.contains(dot), F.replace(x, F.lit(dot), F.lit("."))).otherwise(x),
+    )
+    return F.filter(F.split(lines, "\n"), lambda s: s != "")
 
 
 def section(x: Column | str, heading: str) -> Column:

@@ -29,14 +29,19 @@ def _first(xs: Column, kind: str, test) -> Column:
 
 def _best_in_page(p: Column, needle: Column) -> Column:
     """The block where an anchor starts on a page: shortest run of 1..4 blocks first, then the earliest; else, where only the page as a
-    whole holds the anchor, the first block with its first 80 characters."""
+    whole holds the anchor, the first block with its first 80 characters.
+
+    The page as a whole is normalised only where its blocks, without what normalising takes out, hold the anchor.
+    """
     norms = F.transform(p["blocks"], lambda b: b["norm"])
-    n = F.size(norms)
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda s: F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda b: F.struct(s.alias("s"), b.alias("b")))))
+    n = F.size(p["blocks"])
+    one = F.array_position(F.transform(p["blocks"], lambda b: F.contains(b["norm"], needle)), True).cast("int")
+    runs = F.flatten(F.transform(F.sequence(F.lit(2), F.lit(4)), lambda s: F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda b: F.struct(s.alias("s"), b.alias("b")))))
     fits = lambda r: (r["b"] + r["s"] <= n) & F.contains(F.array_join(F.slice(norms, r["b"] + 1, r["s"]), " "), needle)
-    run = F.when(F.contains(F.array_join(norms, " "), needle), _first(runs, "struct<s:int,b:int>", fits)["b"])
-    whole = F.when(F.contains(p["norm"], needle), F.get(F.filter(F.transform(p["blocks"], lambda b, i: F.struct(b["norm"].alias("n"), i.alias("i"))), lambda x: F.contains(x["n"], F.substring(needle, 1, FRAGMENT))), F.lit(0))["i"])
-    return F.coalesce(run, whole)
+    may = p["raw"].contains("](") | F.contains(X.bare(F.array_join(norms, "")), X.bare(needle))
+    whole = F.when(may & F.contains(X.normalise_match(p["raw"]), needle), F.array_position(F.transform(p["blocks"], lambda b: F.contains(b["norm"], F.substring(needle, 1, FRAGMENT))), True).cast("int"))
+    found = lambda i: F.when(i > 0, i - 1)
+    return F.coalesce(X.let(one, found), F.when(F.contains(F.array_join(norms, " "), needle), _first(runs, "struct<s:int,b:int>", fits)["b"]), X.let(whole, found))
 
 
 def fragments(needle: Column, sizes: Column | None = None) -> Column:
@@ -60,13 +65,15 @@ def locate(anchors: DataFrame, papers: DataFrame, key: str = "source_key", ancho
     trusted for a broadcast. The page comes before the kind of match: a run of blocks on an early page wins over a block of a later one.
     """
     j = anchors.withColumn("needle", X.normalise_match(F.coalesce(F.col(anchor), F.lit("")))).join(papers.hint("merge"), key, "left")
-    at = F.transform("pages", lambda p: F.struct(p["pidx"].alias("pidx"), p["page"].alias("page"), _best_in_page(p, F.col("needle")).alias("bidx")))
-    j = j.withColumn("__at", F.when(F.col("needle") != "", F.get(F.filter(at, lambda x: x["bidx"].isNotNull()), F.lit(0))))
+    here = lambda p: X.let(_best_in_page(p, F.col("needle")), lambda b: F.when(b.isNotNull(), F.struct(p["pidx"].alias("pidx"), p["page"].alias("page"), b.alias("bidx"))))
+    at = F.aggregate("pages", F.lit(None).cast("struct<pidx:int,page:int,bidx:int>"), lambda acc, p: F.when(acc.isNotNull(), acc).otherwise(here(p)))
+    j = j.withColumn("__at", F.when(F.col("needle") != "", at))
     blocks = F.flatten(F.transform("pages", lambda p: F.transform(p["blocks"], lambda b, i: F.struct(p["pidx"].alias("pidx"), p["page"].alias("page"), i.alias("bidx"), b["norm"].alias("norm")))))
     hits = lambda f: F.filter(F.col("__blocks"), lambda b: F.contains(b["norm"], f))
     j = j.withColumn("__blocks", F.when(F.col("__at").isNull() & (F.length("needle") >= FRAGMENT), blocks))
     pieces = F.filter(F.transform(fragments(F.col("needle")), X.strip), lambda f: F.length(f) >= FRAGMENT)
-    found = _first(F.transform(pieces, hits), "array<struct<pidx:int,page:int,bidx:int,norm:string>>", lambda h: F.size(h) == 1)
+    kind = "array<struct<pidx:int,page:int,bidx:int,norm:string>>"
+    found = F.aggregate(pieces, F.lit(None).cast(kind), lambda acc, f: F.when(acc.isNotNull(), acc).otherwise(X.let(hits(f), lambda h: F.when(F.size(h) == 1, h))))
     j = j.withColumn("__piece", F.when(F.col("__blocks").isNotNull(), F.get(found, F.lit(0))))
     pick = lambda f: F.coalesce(F.col(f"__at.{f}"), F.col(f"__piece.{f}"))
     method = F.when(F.col("__at").isNotNull(), "exact").when(F.col("__piece").isNotNull(), "unique_fragment").otherwise("unmatched")
@@ -83,21 +90,43 @@ def _compact(raw: Column, needle: Column) -> Column:
     return F.when(F.size(lines) == 0, X.strip(raw)).otherwise(F.substring(F.array_join(rows, "\n"), 1, CAP))
 
 
-def _letters(x: Column) -> Column:
-    return F.regexp_replace(x, r"[^\p{L}\p{N}]+", "")
+_RUN = "struct<start:int,span:int>"
 
 
-def _window(raws: Column, squeezed: Column, needle: Column) -> Column:
+def _window(raws: Column, line: Column, needle: Column) -> Column:
     """W-6: (start, span) of the shortest, then earliest run of 1..12 sentences that holds the needle; null without one.
 
-    A run can hold it only if its letters and digits hold those of the needle, which is tested first and is cheap.
+    A run can hold it only if the run's bare sentences hold the bare needle, and so only around a place where the page's do. The run from the
+    first to the last sentence of that place is tried at once. Where it fails (a hyphen at a line's end, a sign beyond a sentence) the runs
+    are gone through in their order, and where the place is the only one and no bracket is about, those that go on by a sentence on either
+    side: what lies behind a sentence that is not empty when bare changes nothing.
     """
     n = F.size(raws)
-    bare = _letters(needle)
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(WINDOW)), lambda s: F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda b: F.struct(b.alias("start"), s.alias("span")))))
-    may = lambda r: (r["start"] + r["span"] <= n) & F.contains(F.array_join(F.slice(squeezed, r["start"] + 1, r["span"]), ""), bare)
-    holds = lambda r: F.when(may(r), F.contains(X.normalise_match(F.array_join(F.slice(raws, r["start"] + 1, r["span"]), " ")), needle)).otherwise(False)
-    return F.when((needle != "") & F.contains(F.array_join(squeezed, ""), bare), _first(runs, "struct<start:int,span:int>", holds))
+    holds = lambda r: F.contains(X.normalise_match(F.array_join(F.slice(raws, r["start"] + 1, r["span"]), " ")), needle)
+
+    def place(letters: Column, b: Column, p: Column) -> Column:
+        """Number of the sentence where the place at ``p`` begins, its sentences, and whether it is the only one."""
+        ends = F.aggregate(line["bare"], F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), F.lit(0).alias("j")), lambda a, s: X.let(a["at"] + F.length(s), lambda e: F.struct(e.alias("at"), (a["i"] + (e < p).cast("int")).alias("i"), (a["j"] + (e < p + F.length(b) - 1).cast("int")).alias("j"))))
+        return X.let(ends, lambda e: F.struct(e["i"].alias("start"), (e["j"] - e["i"] + 1).alias("span"), (~F.contains(F.substring(letters, p + 1, F.length(letters)), b)).alias("once")))
+
+    def bounds(w: Column) -> Column:
+        edge = lambda i: F.coalesce(F.get(line["bare"], i) != "", F.lit(True))
+        near = w["once"] & edge(F.when(w["start"] > 0, w["start"] - 1)) & edge(w["start"] + w["span"]) & ~F.exists(raws, lambda r: r.contains("["))
+        return F.when(near, F.struct(F.greatest(w["start"] - 1, F.lit(0)).alias("lo"), F.least(w["start"] + w["span"], n - 1).alias("hi"))).otherwise(F.struct(F.lit(0).alias("lo"), (n - 1).alias("hi")))
+
+    def tried(b: Column, w: Column) -> Column:
+        may = lambda r: (r["start"] + r["span"] <= n) & (line["loose"] | F.contains(F.array_join(F.slice(line["bare"], r["start"] + 1, r["span"]), ""), b))
+        runs = lambda x: F.flatten(F.transform(F.sequence(F.lit(1), F.lit(WINDOW)), lambda s: F.filter(F.transform(F.sequence(x["lo"], x["hi"]), lambda i: F.struct(i.alias("start"), s.alias("span"))), lambda r: r["start"] + r["span"] <= x["hi"] + 1)))
+        direct = F.when((w["once"] | (w["span"] == 1)) & (w["span"] <= WINDOW), F.array(F.struct(w["start"].alias("start"), w["span"].alias("span")))).otherwise(F.array().cast("array<struct<start:int,span:int>>"))
+        of = lambda k: _first(F.when(k == 0, direct).otherwise(X.let(bounds(w), runs)), _RUN, lambda r: F.when(may(r), holds(r)).otherwise(False))
+        return F.when(~F.coalesce(w["once"] & (w["span"] > WINDOW), F.lit(False)), F.aggregate(F.array(F.lit(0), F.lit(1)), F.lit(None).cast(_RUN), lambda acc, k: F.when(acc.isNotNull(), acc).otherwise(of(k))))
+
+    def search(letters: Column, b: Column) -> Column:
+        all_runs = line["loose"] | (b == "")
+        at = F.when(~all_runs, X.let(F.position(b, letters), lambda p: place(letters, b, p)))
+        return F.when(all_runs | F.contains(letters, b), X.let(at, lambda w: tried(b, w)))
+
+    return F.when((needle != "") & (n > 0), X.let(F.array_join(line["bare"], ""), lambda letters: X.let(X.bare(needle), lambda b: search(letters, b))))
 
 
 def expand(located: DataFrame, anchor: str = "anchor_text") -> DataFrame:
@@ -110,27 +139,27 @@ def expand(located: DataFrame, anchor: str = "anchor_text") -> DataFrame:
     block = lambda i: F.get("__blocks", i)
     here = F.col("bidx")
     table_here = F.coalesce(block(here)["is_table"], F.lit(False))
-    caption = ~table_here & block(here)["raw"].rlike(CAPTION) & F.coalesce(block(here + 1)["is_table"], F.lit(False))
+    caption = ~table_here & F.coalesce(block(here + 1)["is_table"], F.lit(False)) & block(here)["raw"].rlike(CAPTION)
     d = d.withColumn("__table", F.when(table_here, here).when(caption, here + 1)).withColumn("source_kind", F.when(F.col("bidx").isNull(), "unmatched").when(table_here, "table").when(caption, "table_caption").otherwise("text"))
     t = F.col("__table")
     parts = F.array(
         F.when((t > 0) & block(t - 1)["raw"].rlike(CAPTION), block(t - 1)["raw"]), F.when(t.isNotNull(), _compact(block(t)["raw"], F.col("needle"))), F.when(~F.coalesce(block(t + 1)["is_table"], F.lit(True)), block(t + 1)["raw"])
     )
-    d = d.withColumn("__mine", F.when(F.col("pidx").isNotNull() & t.isNull(), F.filter(F.transform("items", lambda s, i: F.struct(i.alias("i"), s.alias("s"))), lambda x: x["s"]["pidx"] == F.col("pidx"))))
-    d = d.withColumns({"__raws": F.transform("__mine", lambda x: x["s"]["raw"]), "__first": F.get("__mine", F.lit(0))["i"]})
-    d = d.withColumn("__bare", F.transform("__raws", lambda r: _letters(F.when(F.contains(r, F.lit("](")), X.normalise_match(r)).otherwise(r))))
-    raws, bare = F.col("__raws"), F.col("__bare")
-    whole = _window(raws, bare, F.col("needle"))
-    retry = F.when(F.col("match_method") == "unique_fragment", F.aggregate(fragments(F.col("needle"), F.array(*map(F.lit, FRAGMENTS))), F.lit(None).cast("struct<start:int,span:int>"), lambda acc, f: F.coalesce(acc, _window(raws, bare, f))))
-    d = d.withColumn("__span", whole).withColumn("__span", F.coalesce("__span", F.when(F.col("__raws").isNotNull(), retry)))
-    block_first = F.get(F.filter("__mine", lambda x: x["s"]["bidx"] == F.col("bidx")), F.lit(0))["i"]
+    d = d.withColumn("__line", F.when(F.col("pidx").isNotNull() & t.isNull(), F.get("lines", F.col("pidx"))))
+    d = d.withColumn("__first", F.when(F.col("__line").isNotNull(), F.aggregate(F.slice("lines", F.lit(1), F.col("pidx")), F.lit(0), lambda a, x: a + F.size(x["bare"]))))
+    d = d.withColumn("__mine", F.slice("items", F.col("__first") + 1, F.size("__line.bare"))).withColumn("__raws", F.transform("__mine", lambda s: s["raw"]))
+    pieces = F.when(F.col("match_method") == "unique_fragment", fragments(F.col("needle"), F.array(*map(F.lit, FRAGMENTS)))).otherwise(F.array().cast("array<string>"))
+    tries = F.concat(F.array("needle"), pieces)
+    span = F.aggregate(tries, F.lit(None).cast(_RUN), lambda acc, f: F.when(acc.isNotNull(), acc).otherwise(_window(F.col("__raws"), F.col("__line"), f)))
+    d = d.withColumn("__span", F.when(F.col("__line").isNotNull(), span))
+    block_first = X.let(F.array_position(F.transform("__mine", lambda s: s["bidx"]), F.col("bidx")).cast("int"), lambda i: F.when(i > 0, F.col("__first") + i - 1))
     start = F.coalesce(F.col("__first") + F.col("__span.start"), block_first)
     end = F.coalesce(F.col("__first") + F.col("__span.start") + F.col("__span.span") - 1, block_first)
     lo = F.greatest(start - AROUND, F.lit(0))
     frame = F.array_join(F.transform(F.slice("items", lo + 1, end + AROUND + 1 - lo), lambda s: s["raw"]), " ")
     cut = lambda s: X.strip(F.substring(s, 1, CAP))
     text = F.when(F.col("bidx").isNull(), F.col(anchor)).when(t.isNotNull(), cut(F.array_join(parts, "\n\n"))).when(start.isNull(), cut(F.col(anchor))).otherwise(cut(frame))
-    return d.withColumn("original_text", text).drop("__blocks", "__table", "__mine", "__raws", "__first", "__bare", "__span")
+    return d.withColumn("original_text", text).drop("lines", "__blocks", "__table", "__line", "__mine", "__raws", "__first", "__span")
 
 
 def audit(expanded: DataFrame, keep: list[str], anchor: str = "anchor_text") -> DataFrame:

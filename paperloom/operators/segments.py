@@ -25,9 +25,10 @@ def sentences(docs: DataFrame, key: str = "source_key", text: str = "text") -> D
 
 
 def structure(docs: DataFrame, key: str = "source_key", text: str = "text") -> DataFrame:
-    """(key, pages, items): a row a paper, its pages with their blocks and its sentences nested; nothing is shuffled."""
+    """(key, pages, items, lines): a row a paper, its pages with their blocks and its sentences nested; nothing is shuffled. ``lines`` has for
+    each page the bare forms of its sentences, and whether a link goes beyond one of them, so that they tell nothing."""
     page = lambda p: F.struct(
-        p["pidx"].alias("pidx"), p["page"].alias("page"), X.normalise_match(p["raw"]).alias("norm"),
+        p["pidx"].alias("pidx"), p["page"].alias("page"), p["raw"].alias("raw"),
         F.transform(X.blocks(p["raw"]), lambda b: F.struct(b["raw"].alias("raw"), b["norm"].alias("norm"), X.is_table(b["raw"]).alias("is_table"))).alias("blocks"),
     )
     s = docs.select(key, F.transform(X.pages(text), page).alias("pages"))
@@ -37,4 +38,8 @@ def structure(docs: DataFrame, key: str = "source_key", text: str = "text") -> D
             lambda b, i: F.when(b["is_table"], F.array().cast("array<struct<pidx:int,bidx:int,raw:string>>")).otherwise(F.transform(X.sentences(b["raw"]), lambda t: F.struct(p["pidx"].alias("pidx"), i.alias("bidx"), t.alias("raw")))),
         )
     )
-    return s.select(key, "pages", F.flatten(F.transform("pages", item)).alias("items"))
+    linked = lambda r: r.contains("](")
+    plain = lambda raws: F.when(F.exists(raws, linked), F.transform(raws, lambda r: F.when(linked(r), X.normalise_match(r)).otherwise(r))).otherwise(raws)
+    line = lambda xs: F.struct(F.when(F.size(xs) > 0, F.split(X.bare(F.array_join(xs, "\n")), "\n")).otherwise(F.array().cast("array<string>")).alias("bare"), F.exists(xs, linked).alias("loose"))
+    s = s.select(key, "pages", F.transform("pages", item).alias("__items"))
+    return s.select(key, "pages", F.flatten("__items").alias("items"), F.transform("__items", lambda xs: X.let(F.transform(xs, lambda x: x["raw"]), plain, line)).alias("lines"))
